@@ -21,8 +21,18 @@ from salesmart.operators.joins import join_dimension, maybe_broadcast
 from salesmart.schemas import MONEY
 
 
+# One DataFrame per table file and session: the file listing and footer read
+# happen once, every query reuses the relation (the given tables are
+# read-only).
+_tables: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(path)
+    return _tables[key]
 
 
 def _padded(c, width: int):
