@@ -13,13 +13,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from salesmart.plans import job
 
 
+# The binaryFile source's fixed schema (a stream source must be given one).
+BINARY_FILE = T.StructType(
+    [
+        T.StructField("path", T.StringType(), False),
+        T.StructField("modificationTime", T.TimestampType(), False),
+        T.StructField("length", T.LongType(), False),
+        T.StructField("content", T.BinaryType(), True),
+    ]
+)
+
+
 def file_stream(spark: SparkSession, drop_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(drop_dir).select(
