@@ -17,19 +17,22 @@ from pyspark.sql import SparkSession
 # probe that reads at most ``maxRows + 1`` rows has proven it is below both.
 BROADCAST_MAX_ROWS = "salesmart.broadcast.maxRows"
 BROADCAST_MAX_BYTES = "salesmart.broadcast.maxBytes"
+# Seconds a broadcast decision is reused before the side is probed again.
+BROADCAST_PROBE_TTL = "salesmart.broadcast.probeTtlSeconds"
 # Number of value buckets a rank group is split into (see operators.rank).
 RANK_BUCKETS = "salesmart.rank.buckets"
 
 DEFAULTS = {
     BROADCAST_MAX_ROWS: "2000000",
     BROADCAST_MAX_BYTES: str(256 * 1024 * 1024),
+    BROADCAST_PROBE_TTL: "600",
     RANK_BUCKETS: "32",
 }
 
 # Spark settings the jobs are written for.  AQE re-plans from real shuffle
 # statistics: coalesces small partitions, splits skewed join partitions
 # (also when that costs an extra shuffle) and turns a join into a broadcast
-# only from *measured* sizes.  Static broadcast from file-size estimates is
+# only from *measured* sizes (a shuffle stage's real output, at most 64 MB).  Static broadcast from file-size estimates is
 # off: compressed Parquet sizes are not a bound on the in-memory size.
 SPARK_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -38,6 +41,7 @@ SPARK_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",

@@ -10,6 +10,8 @@ from measured sizes).
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,8 +32,10 @@ _FIXED_WIDTH = {
     T.DecimalType: 16,
 }
 
-# Decisions per (application, plan, bounds): a dimension is probed once.
-_decisions: dict[tuple, bool] = {}
+# Decisions per (application, plan, bounds), kept for a while so a query
+# does not re-probe the same dimension; a long-running stream re-probes
+# after the TTL because a dimension may grow.
+_decisions: dict[tuple, tuple[float, bool]] = {}
 
 
 def _field_bytes(field: T.StructField) -> Column:
@@ -50,12 +54,14 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int |
     max_rows = max_rows if max_rows is not None else config.conf_int(spark, config.BROADCAST_MAX_ROWS)
     max_bytes = max_bytes if max_bytes is not None else config.conf_int(spark, config.BROADCAST_MAX_BYTES)
     key = (spark.sparkContext.applicationId, df.semanticHash(), max_rows, max_bytes)
-    if key in _decisions:
-        return _decisions[key]
+    ttl = config.conf_int(spark, config.BROADCAST_PROBE_TTL)
+    hit = _decisions.get(key)
+    if hit is not None and time.monotonic() - hit[0] < ttl:
+        return hit[1]
     row_bytes = sum((_field_bytes(f) for f in df.schema.fields), F.lit(0))
     n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(row_bytes)).first()
     ok = n <= max_rows and (size or 0) <= max_bytes
-    _decisions[key] = ok
+    _decisions[key] = (time.monotonic(), ok)
     return ok
 
 
