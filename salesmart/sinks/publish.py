@@ -1,10 +1,12 @@
 """Parquet publishing of the marts.
 
-Partitioned writes range-partition on the partition columns plus a hash of
-the whole row before writing.  Each task then holds a contiguous run of
-partition directories (few files per directory), and a directory that holds
-a third of all rows is spread over many tasks instead of one.  The hash is
-of row content, so a retried task sends every row to the same place.
+Partitioned writes are rebalanced on the partition columns (the
+``rebalance`` hint): rows are hash partitioned by directory, so a task holds
+whole directories and writes one file per directory, and AQE splits a
+partition that is far above the advisory size (a directory with a third of
+all rows goes out from many tasks) and merges small ones.  Unlike a range
+layout this needs no sampling pass over the input, and hash placement is the
+same when a task is retried.
 """
 
 from __future__ import annotations
@@ -16,18 +18,25 @@ from pyspark.sql import types as T
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite") -> None:
     """Write ``df`` under ``path/c1=../c2=..``; with ``overwrite`` only the
-    partitions present in ``df`` are replaced (dynamic partition overwrite)."""
-    spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    laid_out = df.repartitionByRange(*[F.col(c) for c in partition_cols], spread).sortWithinPartitions(*partition_cols)
+    partitions present in ``df`` are replaced (dynamic partition overwrite).
+    A new target needs no staging folder, so it is committed directly."""
+    laid_out = df.hint("rebalance", *partition_cols)
+    overwrite_mode = "dynamic" if mode == "overwrite" and path_exists(df.sparkSession, path) else "static"
     (
         laid_out.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", overwrite_mode)
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(*partition_cols)
         .parquet(path)
