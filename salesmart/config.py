@@ -114,3 +114,23 @@ def is_local_path(path: str) -> bool:
 def ensure_local_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file://", ""), exist_ok=True)
+
+
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Start AQE from about one shuffle partition per 128 MB of input.
+
+    AQE then coalesces small partitions and splits skewed ones; starting too
+    low would make every partition of a 100 TB run spill.  A value the user
+    set (``--conf``) is left alone.  Returns the partition count in effect.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if spark.sparkContext.getConf().contains(key) or spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        return int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    floor = spark.sparkContext.defaultParallelism * 2
+    n = max(floor, min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes // TARGET_PARTITION_BYTES)))
+    spark.conf.set(key, str(n))
+    return n
