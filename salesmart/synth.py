@@ -38,16 +38,25 @@ def sales_frame(
     seed: int,
     start: dt.date = dt.date(2023, 3, 3),
     end: dt.date = dt.date(2023, 8, 20),
+    hot_share: float = 0.0,
 ) -> DataFrame:
-    """``rows`` sales lines with the eight mandatory columns as strings."""
+    """``rows`` sales lines with the eight mandatory columns as strings.
+
+    With ``hot_share`` > 0 that share of the rows belongs to customer 1 and
+    seller 1 (store 121), the skew the marts must survive.
+    """
     days = (end - start).days + 1
     names = F.array(*[F.lit(n) for n, _ in PRODUCTS])
     prices = F.array(*[F.lit(Decimal(p)) for _, p in PRODUCTS])
-    seller = (F.floor(F.rand(seed + 1) * (len(STORES) * SELLERS_PER_STORE)) + 1).cast("int")
+    hot = F.rand(seed + 7) < F.lit(hot_share)
+    seller = F.when(hot, F.lit(1)).otherwise(
+        (F.floor(F.rand(seed + 1) * (len(STORES) * SELLERS_PER_STORE)) + 1).cast("int")
+    )
+    customer = F.when(hot, F.lit(1)).otherwise((F.floor(F.rand(seed) * 20) + 1).cast("int"))
     product = (F.floor(F.rand(seed + 2) * len(PRODUCTS)) + 1).cast("int")
     quantity = (F.floor(F.rand(seed + 4) * 10) + 1).cast("int")
     df = spark.range(rows).select(
-        (F.floor(F.rand(seed) * 20) + 1).cast("int").alias("customer_id"),
+        customer.alias("customer_id"),
         (F.lit(STORES[0]) + F.floor((seller - 1) / SELLERS_PER_STORE)).cast("int").alias("store_id"),
         F.element_at(names, product).alias("product_name"),
         F.date_add(F.lit(start), F.floor(F.rand(seed + 3) * days).cast("int")).alias("sales_date"),
