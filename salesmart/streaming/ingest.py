@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from salesmart.plans import job
+from salesmart.sources.files import file_name_of
 
 
 # The binaryFile source's fixed schema (a stream source must be given one).
@@ -36,7 +37,7 @@ def file_stream(spark: SparkSession, drop_dir: str, max_files_per_trigger: int |
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(drop_dir).select(
         F.col("path").alias("file_location"),
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        file_name_of(F.col("path")).alias("file_name"),
         "length",
         F.col("modificationTime").alias("modification_time"),
     )
