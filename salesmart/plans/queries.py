@@ -33,28 +33,38 @@ def star_enrich(spark, sf_dir):
     return enriched(spark, sf_dir)
 
 
+def _star(spark, sf_dir):
+    return (td.sales(spark, sf_dir), *td.dimensions(spark, sf_dir))
+
+
+# Monthly marts aggregate the fact before joining dimension attributes (see
+# operators.marts); the driver tables' dimension keys are unique.
 def customer_monthly(spark, sf_dir):
-    return marts.customer_monthly(enriched(spark, sf_dir))
+    return marts.customer_monthly_from_fact(*_star(spark, sf_dir))
 
 
 def customer_monthly_window(spark, sf_dir):
-    return marts.customer_month_totals(enriched(spark, sf_dir))
+    return marts.customer_month_sums(*_star(spark, sf_dir))
+
+
+def _seller_monthly(spark, sf_dir):
+    return marts.seller_monthly_from_fact(*_star(spark, sf_dir))
 
 
 def seller_monthly(spark, sf_dir):
-    return marts.seller_monthly(enriched(spark, sf_dir))
+    return _seller_monthly(spark, sf_dir)
 
 
 def seller_rank(spark, sf_dir):
-    return marts.seller_rank(marts.seller_monthly(enriched(spark, sf_dir)))
+    return marts.seller_rank(_seller_monthly(spark, sf_dir))
 
 
 def top_sellers(spark, sf_dir):
-    return marts.top_sellers(marts.seller_monthly(enriched(spark, sf_dir)))
+    return marts.top_sellers(_seller_monthly(spark, sf_dir))
 
 
 def seller_incentive(spark, sf_dir):
-    return marts.seller_incentive(marts.seller_monthly(enriched(spark, sf_dir)))
+    return marts.seller_incentive(_seller_monthly(spark, sf_dir))
 
 
 def customer_mart_detail(spark, sf_dir):
