@@ -7,7 +7,6 @@ the session conf (``salesmart.*`` keys) so a cluster job can tune them with
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -107,15 +106,6 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join(s.strip("/") if i else s.rstrip("/") for i, s in enumerate(segs))
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file://", ""), exist_ok=True)
-
-
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 200_000
 
