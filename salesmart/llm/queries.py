@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import packing, tokenfiles
+from salesmart.llm import packing, quality, secrets, tokenfiles
 from salesmart.llm.common import table
 
 
@@ -22,13 +22,24 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_quality_rff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.round_trip(table(spark, sf_dir, "documents"), tokenizer(), end_id=2)
 
 
+def op9_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
+    "op3_quality_rff": op3_quality_rff,
     "op4_token_shards": op4_token_shards,
+    "op9_secret_novelty": op9_secret_novelty,
 }
 
 ORACLE: dict[str, str] = {}
