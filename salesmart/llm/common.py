@@ -151,7 +151,7 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     # words over 64 bytes: each 64-byte turn uses another odd multiplier
     values *= _POWERS[place & 63]
     if length.max() > 64:
-        values *= (place >> 6).astype(np.uint64) * np.uint64(0xD1342543DE82EF94) + np.uint64(0x2545F4914F6CDD1D)
+        values *= (place >> 6).astype(np.uint64) * np.uint64(0xD1342543DE82EF94) + np.uint64(1)
     return mix(np.add.reduceat(values, total[:-1]) ^ (length.astype(np.uint64) << np.uint64(48)))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import packing, quality, secrets, tokenfiles
+from salesmart.llm import decontam, neardup, packing, quality, secrets, tokenfiles
 from salesmart.llm.common import table
 
 
@@ -31,15 +31,25 @@ def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.round_trip(table(spark, sf_dir, "documents"), tokenizer(), end_id=2)
 
 
+def op6_seed_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op3_quality_rff": op3_quality_rff,
     "op4_token_shards": op4_token_shards,
+    "op6_seed_alignment": op6_seed_alignment,
     "op9_secret_novelty": op9_secret_novelty,
+    "op10_chosen_path": op10_chosen_path,
 }
 
 ORACLE: dict[str, str] = {}
