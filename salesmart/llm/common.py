@@ -172,3 +172,41 @@ def inside(words: Words, n: int) -> np.ndarray:
     if count <= 0:
         return np.zeros(0, bool)
     return words.doc[:count] == words.doc[n - 1 :]
+
+
+#: Positions of the filter of ids: a task holds this many bits whatever the number of ids.
+FILTER_BITS = 23
+
+
+def _positions(ids: pa.Array) -> np.ndarray:
+    ids = pc.fill_null(ids.cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
+    return (mix(ids.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def id_filter(ids: DataFrame) -> Callable[[pa.Array], np.ndarray]:
+    """A test whether an integer id may be among ``ids`` (one column), of fixed size.
+
+    It keeps rows that cannot meet ``ids`` out of a shuffle; the join behind
+    it stays exact, and with very many ids it merely lets more rows pass.
+    """
+    name = ids.columns[0]
+
+    def run(batches):
+        marks = np.zeros(1 << FILTER_BITS, bool)
+        for batch in batches:
+            marks[_positions(batch.column(0))] = True
+        words = np.packbits(marks).view("<i8")
+        some = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(words[some])], ["word", "bits"])
+
+    parts = ids.select(F.col(name).cast("long")).mapInArrow(run, "word long, bits long")
+    got = parts.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros((1 << FILTER_BITS) // 64, "<i8")
+    words[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    packed = words.view(np.uint8)
+
+    def member(column: pa.Array) -> np.ndarray:
+        at = _positions(column)
+        return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+    return member

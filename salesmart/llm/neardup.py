@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import Words, by_slice, gram_hashes, mix, settle, texts
+from salesmart.llm.common import Words, by_slice, gram_hashes, id_filter, mix, settle, texts
 
 #: Words of a shingle; similarity as a ratio of integers.
 SHINGLE, ABOVE, BELOW = 4, 80, 100
@@ -47,8 +47,6 @@ NODE = 2000
 SKETCH = 0.65
 #: Bytes of full sets that one task compares.
 CLUSTER_BYTES = 16 << 20
-#: Positions of the filter that keeps documents outside any cluster from being moved.
-FILTER_BITS = 23
 
 _rng = np.random.default_rng(20251)
 _FACTORS = _rng.integers(0, 2**63, SIGNATURE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -290,17 +288,12 @@ def cluster_sets(docs: DataFrame, clusters: DataFrame) -> DataFrame:
     Documents in no cluster are not moved: the join is behind a filter of the
     members' hashed ids.
     """
-    held = clusters.select(F.pmod(F.xxhash64("rep"), F.lit(1 << FILTER_BITS)).alias("at")).distinct()
-    marks = held.select(F.expr("at div 32").alias("word"), F.expr("shiftleft(1L, cast(at % 32 AS int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    filter_ = np.zeros((1 << FILTER_BITS) // 32, np.uint32)
-    got = marks.toArrow()
-    filter_[got.column("word").to_numpy()] = got.column("bits").to_numpy().astype(np.uint32)
-    docs = texts(docs).withColumn("at", F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)))
+    member = id_filter(clusters.select("rep"))
+    docs = texts(docs)
 
     def some(batches):
         for batch in batches:
-            at = batch.column("at").to_numpy()
-            yield batch.filter(pa.array((filter_[at >> 5] >> (at & 31).astype(np.uint32) & 1).astype(bool)))
+            yield batch.filter(pa.array(member(batch.column("doc_id"))))
 
     near = docs.mapInArrow(some, docs.schema).join(clusters.withColumnRenamed("rep", "doc_id"), "doc_id")
 

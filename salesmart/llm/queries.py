@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontam, neardup, packing, quality, secrets, tokenfiles
+from salesmart.llm import decontam, neardup, packing, quality, repeats, secrets, tokenfiles
 from salesmart.llm.common import table
 
 
@@ -22,6 +22,11 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_quality_rff(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
@@ -45,6 +50,7 @@ def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
+    "op2_super_kmers": op2_super_kmers,
     "op3_quality_rff": op3_quality_rff,
     "op4_token_shards": op4_token_shards,
     "op6_seed_alignment": op6_seed_alignment,

@@ -30,3 +30,21 @@ def near_components(docs, size=4):
                 a, b = find(doc), find(other)
                 root[max(a, b)] = min(a, b)
     return {d: (len(sets[d]), find(d)) for d in sets}
+
+
+def repeats(docs, window=13):
+    """doc_id -> (words, removed, kept words joined) by a dictionary of all windows."""
+    first = {}
+    words = {d: WORD.findall(t or "") for d, t in docs}
+    for d, w in words.items():
+        for k in range(len(w) - window + 1):
+            key = tuple(w[k : k + window])
+            first[key] = min(first.get(key, d), d)
+    out = {}
+    for d, w in words.items():
+        gone = [False] * len(w)
+        for k in range(len(w) - window + 1):
+            if first[tuple(w[k : k + window])] < d:
+                gone[k : k + window] = [True] * window
+        out[d] = (len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g))
+    return out
