@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontam, neardup, packing, quality, repeats, secrets, tokenfiles
+from salesmart.llm import decontam, neardup, packing, quality, repeats, rules, secrets, tokenfiles
 from salesmart.llm.common import table
 
 
@@ -40,6 +40,12 @@ def op6_seed_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rules.apply_policy(rules.ledger(table(spark, sf_dir, "documents")), "v1")
+    base = rules.apply_policy(rows, "base", "base_kept")
+    return base.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~F.col("base_kept")).alias("base_failed"), "kept")
+
+
 def op9_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -54,8 +60,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rff": op3_quality_rff,
     "op4_token_shards": op4_token_shards,
     "op6_seed_alignment": op6_seed_alignment,
+    "op7_rule_ledger": op7_rule_ledger,
     "op9_secret_novelty": op9_secret_novelty,
     "op10_chosen_path": op10_chosen_path,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_rule_ledger": rules.ORACLE}
