@@ -16,8 +16,9 @@ import numpy as np
 #: Unicode's White_Space characters.
 _WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
-#: Cached chunks at most, and the longest chunk that is cached.
-CACHED, LONGEST = 300_000, 64
+_WHOLE = re.compile(f"[{_WHITE}].*[^{_WHITE}]", re.S)
+#: Cached chunks at most, the longest chunk that is cached, and characters encoded in one call.
+CACHED, LONGEST, AT_ONCE = 500_000, 64, 200_000
 
 
 class Encoder:
@@ -29,22 +30,49 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # a byte-level token's text has one character for each byte
+        self.size = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.size[number] = len(token)
         self.known: dict[str, bytes] = {}
 
+    def _run(self, chunks: list[str]) -> None:
+        """Encode chunks that begin with white space and end without: together they are one text, cut by its tokens' sizes."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in chunks])
+        cuts = np.searchsorted(np.cumsum(self.size[ids]), ends, "left") + 1
+        raw, at = ids.tobytes(), 0
+        for chunk, cut in zip(chunks, cuts.tolist()):
+            self.known[chunk] = raw[4 * at : 4 * cut]
+            at = cut
+
+    def _learn(self, chunks: list[str]) -> None:
+        alone, held, size = [], [], 0
+        for chunk in chunks:
+            if _WHOLE.fullmatch(chunk) is None:
+                alone.append(chunk)
+                continue
+            held.append(chunk)
+            size += len(chunk)
+            if size >= AT_ONCE:
+                self._run(held)
+                held, size = [], 0
+        if held:
+            self._run(held)
+        for chunk, got in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+            self.known[chunk] = np.array(got.ids, "<u4").tobytes()
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         parts = [_CHUNK.findall(t) if t else [] for t in texts]
-        new = set(chain.from_iterable(parts)).difference(self.known)
+        used = set(chain.from_iterable(parts))
+        new = used.difference(self.known)
         if len(self.known) + len(new) > CACHED:
-            self.known = {}
-            new = set(chain.from_iterable(parts))
-        known = self.known
-        order = list(new)
-        for at in range(0, len(order), 20_000):
-            some = order[at : at + 20_000]
-            for chunk, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[chunk] = np.array(got.ids, "<u4").tobytes()
-        out = [b"".join(map(known.__getitem__, p)) for p in parts]
-        for chunk in order:
+            # what this slice uses is what repeats
+            self.known = {chunk: self.known[chunk] for chunk in used.intersection(self.known)}
+        self._learn(list(new))
+        get = self.known.__getitem__
+        out = [b"".join(map(get, p)) for p in parts]
+        for chunk in new:
             if len(chunk) > LONGEST:
-                del known[chunk]
+                del self.known[chunk]
         return out
