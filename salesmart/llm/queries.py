@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontam, neardup, packing, quality, repeats, rules, secrets, tokenfiles
+from salesmart.llm import decontam, lm, neardup, packing, quality, repeats, rules, secrets, tokenfiles
 from salesmart.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.round_trip(table(spark, sf_dir, "documents"), tokenizer(), end_id=2)
 
 
+def op5_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), quality.held_out(7, 2))
+
+
 def op6_seed_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_super_kmers": op2_super_kmers,
     "op3_quality_rff": op3_quality_rff,
     "op4_token_shards": op4_token_shards,
+    "op5_recurrent_lm": op5_recurrent_lm,
     "op6_seed_alignment": op6_seed_alignment,
     "op7_rule_ledger": op7_rule_ledger,
     "op9_secret_novelty": op9_secret_novelty,
