@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontam, lm, neardup, packing, quality, repeats, rules, secrets, tokenfiles
+from salesmart.llm import decontam, extraction, lm, neardup, packing, quality, repeats, rules, secrets, tokenfiles
 from salesmart.llm.common import table
 
 
@@ -50,6 +50,11 @@ def op7_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~F.col("base_kept")).alias("base_failed"), "kept")
 
 
+def op8_boosted_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    main = extraction.extract(table(spark, sf_dir, "pages"))
+    return main.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_recurrent_lm": op5_recurrent_lm,
     "op6_seed_alignment": op6_seed_alignment,
     "op7_rule_ledger": op7_rule_ledger,
+    "op8_boosted_dom": op8_boosted_dom,
     "op9_secret_novelty": op9_secret_novelty,
     "op10_chosen_path": op10_chosen_path,
 }
