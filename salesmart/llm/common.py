@@ -210,3 +210,24 @@ def id_filter(ids: DataFrame) -> Callable[[pa.Array], np.ndarray]:
         return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
     return member
+
+
+def split_by_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """Rows of ``docs`` whose integer id is not among ``ids`` for certain, and the rows that may be; all columns unchanged."""
+    member = id_filter(ids)
+
+    def some(wanted: bool):
+        def run(batches):
+            for batch in batches:
+                yield batch.filter(pa.array(member(batch.column(batch.schema.get_field_index(key))) == wanted))
+
+        return docs.mapInArrow(run, docs.schema)
+
+    return some(False), some(True)
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``doc_id`` (NULL is an id too) is not in ``ids``; only rows that may be are moved."""
+    ids = ids.select(F.col("doc_id").alias("_gone")).distinct()
+    clear, near = split_by_ids(docs, ids)
+    return clear.unionByName(near.join(ids, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti"))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from salesmart.llm.common import Words, by_slice, gram_hashes, inside, slices, texts
+from salesmart.llm.common import Words, by_slice, gram_hashes, inside, settle, slices, texts, without_ids
 
 #: Words of a seed; share of the best possible alignment score from which a passage counts.
 N_GRAM, SHARE = 5, 0.5
@@ -230,5 +230,4 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a link, all columns unchanged."""
-    dirty = links(docs, items).select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("_dirty")), "left_anti")
+    return without_ids(docs, settle(links(docs, items).select("doc_id").distinct(), "decontam-ids"))

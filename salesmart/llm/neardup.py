@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import Words, by_slice, gram_hashes, id_filter, mix, settle, texts
+from salesmart.llm.common import Words, by_slice, gram_hashes, id_filter, mix, settle, split_by_ids, texts
 
 #: Words of a shingle; similarity as a ratio of integers.
 SHINGLE, ABOVE, BELOW = 4, 80, 100
@@ -336,6 +336,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each group of near-duplicates, all columns unchanged; repeated ids are one document."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id"])
+    """One row of ``docs`` for each group of near-duplicates, all columns unchanged; repeated ids are one document.
+
+    Only rows of documents that go, or whose id is repeated, are moved.
+    """
+    found = settle(near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "neardup-kept")
+    special = found.where("NOT kept OR n > 1").select(F.col("doc_id").alias("_id"), F.col("kept").alias("_kept"))
+    clear, near = split_by_ids(docs, special.select("_id"))
+    near = near.join(special, F.col("doc_id").eqNullSafe(F.col("_id")), "left").where(F.coalesce("_kept", F.lit(True)))
+    return clear.unionByName(near.dropDuplicates(["doc_id"]).select(docs.columns))

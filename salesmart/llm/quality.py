@@ -229,8 +229,26 @@ def held_out(modulus: int, remainder: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder, F.lit(True))
 
 
-def score(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
-    """``doc_id, held_out, score``, learning from the labels of documents that are not held out."""
+def learn(docs: DataFrame, labels: DataFrame, label: str = "quality") -> tuple[DataFrame, Model | None]:
+    """All documents' statistics, and the model of the labels of documents that are not held out."""
     feats = settle(features(docs).withColumn("held_out", held_out(5, 0)), "quality-features")
     marked = labels.select("doc_id", F.col(label).cast("double").alias("label")).where(~held_out(5, 0))
-    return apply(feats, fit(feats, marked))
+    return feats, fit(feats, marked)
+
+
+def score(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
+    """``doc_id, held_out, score``, learning from the labels of documents that are not held out."""
+    return apply(*learn(docs, labels, label))
+
+
+def keep(docs: DataFrame, labels: DataFrame, least: float = 0.3, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score ``least`` or more, all columns unchanged."""
+    _, model = learn(docs, labels)
+    if model is None:
+        return docs if least <= 0.5 else docs.limit(0)
+
+    def run(part):
+        scores = model.score(statistics(part.column(part.schema.get_field_index(text))).astype(np.float64))
+        return part.filter(pa.array(scores >= least))
+
+    return by_slice(docs, run, docs.schema, text)

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import Words, by_slice, gram_hashes, id_filter, inside, mix, settle, slices, texts
+from salesmart.llm.common import Words, by_slice, gram_hashes, inside, mix, settle, slices, split_by_ids, texts
 
 #: Words of a window, and of the runs among which minimisers are chosen.
 WINDOW, GRAM = 13, 3
@@ -246,7 +246,6 @@ def strip(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """
     key = docs.schema["doc_id"].dataType.simpleString()
     docs = texts(docs)
-    member = id_filter(spans.select("doc_id"))
     schema = f"doc_id {key}, n_words long, n_removed long, kept string"
 
     def kept(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -271,19 +270,9 @@ def strip(docs: DataFrame, spans: DataFrame) -> DataFrame:
             [part.column("doc_id"), pa.array(np.diff(words.first).astype(np.int64)), pa.array(removed, pa.int64()), pa.array(out, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"]
         )
 
-    def some(wanted: bool):
-        def run(batches):
-            for batch in batches:
-                yield batch.filter(pa.array(member(batch.column("doc_id")) == wanted))
-
-        return run
-
-    def others(batches):
-        for part in slices(some(False)(batches)):
-            yield kept(part)
-
-    moved = docs.mapInArrow(some(True), docs.schema).join(spans.withColumn("doc_id", F.col("doc_id").cast(key)), "doc_id", "left")
-    return docs.mapInArrow(others, schema).unionByName(by_slice(moved.select("doc_id", "text", "spans"), kept, schema))
+    clear, near = split_by_ids(docs, spans.select("doc_id"))
+    near = near.join(spans.withColumn("doc_id", F.col("doc_id").cast(key)), "doc_id", "left").select("doc_id", "text", "spans")
+    return by_slice(clear, kept, schema).unionByName(by_slice(near, kept, schema))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:

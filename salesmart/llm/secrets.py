@@ -127,14 +127,24 @@ def redact_text(text: str | None, mask: str = "[SECRET]") -> str | None:
     return "".join(out) + text[at:]
 
 
-def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns of ``docs``, in order, with the secrets of ``text`` masked."""
+def redact(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
+    """All columns of ``docs``, in order, with the secrets of ``text`` masked and its ``length`` (if there) following."""
     schema = docs.schema
 
     def run(batches):
         for part in slices(batches, text):
             at = part.schema.get_field_index(text)
-            column = pa.array([redact_text(t) for t in part.column(at).to_pylist()], part.schema.field(at).type)
-            yield part.set_column(at, part.schema.field(at), column)
+            before = part.column(at).to_pylist()
+            after = [redact_text(t) for t in before]
+            changed = [k for k, (a, b) in enumerate(zip(before, after)) if a != b]
+            if changed:
+                part = part.set_column(at, part.schema.field(at), pa.array(after, part.schema.field(at).type))
+                size = part.schema.get_field_index(length)
+                if size >= 0 and pa.types.is_integer(part.schema.field(size).type):
+                    sizes = part.column(size).to_pylist()
+                    for k in changed:
+                        sizes[k] = len(after[k])
+                    part = part.set_column(size, part.schema.field(size), pa.array(sizes, part.schema.field(size).type))
+            yield part
 
     return docs.mapInArrow(run, schema)
