@@ -1,7 +1,7 @@
 from salesmart.functions.columns import (  # noqa: F401
     INCENTIVE_RATE,
     fold_json,
-    fold_values,
+    fold_values, quoted,
     full_name,
     incentive,
     money,

@@ -39,6 +39,11 @@ def incentive(is_top: str | Column, total: str | Column) -> Column:
     return F.when(col_(is_top), pay).otherwise(F.lit(Decimal("0.00"))).cast(MONEY)
 
 
+def quoted(name: str) -> str:
+    """``name`` as one identifier, whatever dots or quotes it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def fold_values(names: list[str]) -> Column:
     """Values of ``names`` joined by ',' in name order; NULLs are skipped.
 
@@ -47,11 +52,11 @@ def fold_values(names: list[str]) -> Column:
     """
     if not names:
         return F.lit(None).cast("string")
-    return F.concat_ws(",", *[F.col(n).cast("string") for n in sorted(names)])
+    return F.concat_ws(",", *[F.col(quoted(n)).cast("string") for n in sorted(names)])
 
 
 def fold_json(names: list[str]) -> Column:
     """Lossless twin of :func:`fold_values`: ``{"name": value, ...}``."""
     if not names:
         return F.lit(None).cast("string")
-    return F.to_json(F.struct(*[F.col(n).cast("string").alias(n) for n in sorted(names)]))
+    return F.to_json(F.struct(*[F.col(quoted(n)).cast("string").alias(n) for n in sorted(names)]))
