@@ -13,19 +13,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Size bound for a broadcast dimension.  A side is broadcast only after a
-# probe that reads at most ``maxRows + 1`` rows has proven it is below both.
+# probe (a count of its rows and bytes) has proven it is below both.
 BROADCAST_MAX_ROWS = "salesmart.broadcast.maxRows"
 BROADCAST_MAX_BYTES = "salesmart.broadcast.maxBytes"
 # Seconds a broadcast decision is reused before the side is probed again.
 BROADCAST_PROBE_TTL = "salesmart.broadcast.probeTtlSeconds"
-# Number of value buckets a rank group is split into (see operators.rank).
-RANK_BUCKETS = "salesmart.rank.buckets"
 
 DEFAULTS = {
-    BROADCAST_MAX_ROWS: "2000000",
-    BROADCAST_MAX_BYTES: str(256 * 1024 * 1024),
+    BROADCAST_MAX_ROWS: "500000",
+    BROADCAST_MAX_BYTES: str(64 * 1024 * 1024),
     BROADCAST_PROBE_TTL: "600",
-    RANK_BUCKETS: "32",
 }
 
 # Spark settings the jobs are written for.  AQE re-plans from real shuffle
@@ -107,7 +104,6 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
 
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
@@ -121,6 +117,6 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     if spark.sparkContext.getConf().contains(key) or spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
         return int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
     floor = spark.sparkContext.defaultParallelism * 2
-    n = max(floor, min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes // TARGET_PARTITION_BYTES)))
+    n = max(floor, -(-input_bytes // TARGET_PARTITION_BYTES))
     spark.conf.set(key, str(n))
     return n

@@ -1,12 +1,10 @@
 """Dimension joins with a proven broadcast bound.
 
-A side is broadcast only when a probe has shown it holds at most
-``salesmart.broadcast.maxRows`` rows and ``salesmart.broadcast.maxBytes``
-bytes.  The probe reads at most ``maxRows + 1`` rows (a root ``limit``
-scans partitions incrementally and stops), so it stays cheap even when the
-side is huge.  Beyond the bound the
-join is a plain shuffle join, left to AQE (skew splitting, runtime broadcast
-from measured sizes).
+A side is broadcast only when a count of its rows and bytes, summed up on the
+executors, has shown that it holds at most ``salesmart.broadcast.maxRows`` rows
+and ``salesmart.broadcast.maxBytes`` bytes.  Beyond the bound the join is a
+plain shuffle join, left to AQE (skew splitting, runtime broadcast from
+measured sizes).
 """
 
 from __future__ import annotations
@@ -60,13 +58,14 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int |
     if hit is not None and time.monotonic() - hit[0] < ttl:
         return hit[1]
     row_bytes = sum((_field_bytes(f) for f in df.schema.fields), F.lit(0))
-    # The limit must be the root of the plan: collect() then scans partitions
-    # incrementally (1, 4, 16, ... of them) and stops at maxRows + 1 rows.  A
-    # limit under an aggregate would run a local limit in *every* partition,
-    # i.e. read most of a large table.  Only one int per row comes back.
-    sizes = df.select(row_bytes.alias("b")).limit(max_rows + 1).collect()
-    ok = len(sizes) <= max_rows and sum(r[0] for r in sizes) <= max_bytes
-    _decisions[key] = (time.monotonic(), ok)
+    # One partial/final aggregate over the pruned side: a single row comes back,
+    # and a side too large costs one scan of it, far less than its join.
+    n, size = df.select(row_bytes.alias("b")).agg(F.count(F.lit(1)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    ok = n <= max_rows and size <= max_bytes
+    now = time.monotonic()
+    for old in [k for k, (at, _) in _decisions.items() if now - at >= ttl]:
+        del _decisions[old]
+    _decisions[key] = (now, ok)
     return ok
 
 

@@ -20,7 +20,7 @@ JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN part p ON l.l_partkey = p.p_pa
 SELECT c_custkey AS customer_id, substr(c_name,1,8) AS first_name, substr(c_name,10) AS last_name,
        n_name AS address, lpad(CAST(c_nationkey AS VARCHAR(6)),6,'0') AS pincode,
        concat('91', lpad(CAST(c_custkey AS VARCHAR(10)),8,'0')) AS phone_number
-FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0""",
+FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "store_dim": """
 SELECT n_nationkey AS id, r_name AS address, n_name AS store_manager_name
 FROM nation JOIN region ON n_regionkey = r_regionkey""",
@@ -90,19 +90,65 @@ _QUERIES = {
     "fold_extra": (
         ["sales"],
         """SELECT customer_id, store_id, product_name, sales_date, sales_person_id, price, quantity, total_cost,
- concat_ws(',', channel, payment_mode) AS additional_column FROM sales""",
+ concat_ws(',', channel, payment_mode) AS additional_column,
+ concat('{"channel":"', channel, '","payment_mode":"', payment_mode, '"}') AS additional_json FROM sales""",
     ),
     "conform_union": (
         ["sales"],
-        """SELECT customer_id, store_id, sales_date, total_cost, CAST(NULL AS VARCHAR) AS additional_column
- FROM sales WHERE payment_mode = 'A'
- UNION ALL SELECT customer_id, store_id, sales_date, total_cost, concat_ws(',', channel, payment_mode)
- FROM sales WHERE payment_mode <> 'A'""",
+        """SELECT customer_id, store_id, product_name, sales_date, sales_person_id, price, quantity, total_cost,
+ CAST(NULL AS VARCHAR) AS additional_column FROM sales WHERE payment_mode = 'A'
+ UNION ALL SELECT customer_id, store_id, product_name, sales_date, sales_person_id, price, quantity, total_cost,
+ concat_ws(',', channel, payment_mode) FROM sales WHERE payment_mode <> 'A'""",
     ),
     "unmatched_customers": (
-        ["sales", "customer_dim"],
+        ["sales"],
         """SELECT f.customer_id, count(*) AS n FROM sales f
- WHERE NOT EXISTS (SELECT 1 FROM customer_dim c WHERE c.customer_id = f.customer_id) GROUP BY f.customer_id""",
+ WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = f.customer_id AND c.c_acctbal >= 0) GROUP BY f.customer_id""",
+    ),
+    "unmatched_stores": (
+        ["sales"],
+        """SELECT f.store_id, count(*) AS n FROM sales f
+ WHERE NOT EXISTS (SELECT 1 FROM nation WHERE n_nationkey = f.store_id AND n_nationkey % 3 <> 0) GROUP BY f.store_id""",
+    ),
+    "unmatched_sellers": (
+        ["sales", "sales_team_dim"],
+        """SELECT f.sales_person_id, count(*) AS n FROM sales f
+ WHERE NOT EXISTS (SELECT 1 FROM sales_team_dim t WHERE t.id = f.sales_person_id AND t.is_manager = 'N')
+ GROUP BY f.sales_person_id""",
+    ),
+    "reject_files": (
+        [],
+        """SELECT 'missing' AS folder, 'missing_columns' AS reason, 'price,store_id' AS missing
+ UNION ALL SELECT 'duplicate', 'duplicate_columns', ''
+ UNION ALL SELECT 'region', 'missing_columns',
+  'customer_id,price,product_name,quantity,sales_date,sales_person_id,store_id,total_cost' FROM (SELECT count(*) AS n FROM region) r WHERE n > 0
+ UNION ALL SELECT 'json', 'not_csv', '' FROM (SELECT count(*) AS n FROM nation) s WHERE n > 0""",
+    ),
+    "bad_rows_by_column": (
+        ["sales"],
+        """SELECT folder, errors, count(*) AS n, count(extra) AS n_additional FROM (
+ SELECT 'broken' AS folder, CASE quantity % 10 WHEN 0 THEN 'total_cost' WHEN 1 THEN 'customer_id,total_cost'
+  WHEN 2 THEN 'sales_date,total_cost' ELSE '' END AS errors, CAST(NULL AS VARCHAR) AS extra FROM sales WHERE payment_mode = 'A'
+ UNION ALL SELECT 'sales[1]?', '', NULL FROM sales WHERE payment_mode = 'R'
+ UNION ALL SELECT 'sales 100%', '', concat_ws(',', channel, payment_mode) FROM sales WHERE payment_mode = 'N') x
+ GROUP BY folder, errors""",
+    ),
+    "job_customer_monthly": (
+        ["enriched"],
+        """SELECT customer_id, concat(first_name,' ',last_name) AS full_name, address, phone_number,
+ sales_month AS sales_date_month, CAST(sum(total_cost) AS DECIMAL(18,2)) AS total_sales FROM enriched
+ GROUP BY customer_id, first_name, last_name, address, phone_number, sales_month""",
+    ),
+    "job_seller_monthly": (
+        ["enriched"],
+        f"""SELECT store_id, sales_person_id, full_name, sales_month, total_sales,
+ CAST(CASE WHEN rnk = 1 THEN round(total_sales * CAST(0.01 AS DECIMAL(4,2)), 2) ELSE 0 END AS DECIMAL(18,2)) AS incentive
+ FROM ({_RANKED}) r""",
+    ),
+    "job_detail_committed": (
+        ["enriched"],
+        """SELECT sales_month, store_id, count(*) AS n, CAST(sum(total_cost) AS DECIMAL(18,2)) AS total_cost
+ FROM enriched GROUP BY sales_month, store_id""",
     ),
     "ledger_latest": (
         [],

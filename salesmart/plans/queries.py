@@ -19,7 +19,8 @@ from salesmart.operators import marts
 from salesmart.operators.conform import conform, good_rows
 from salesmart.operators.enrich import enrich, unmatched
 from salesmart.operators.ledger import already_done, latest_state
-from salesmart.plans.ingest import ingest
+from salesmart.plans import job
+from salesmart.plans.ingest import NoValidFile, ingest
 from salesmart.schemas import MANDATORY_COLUMNS, MONEY, SELLER_MART_DETAIL
 from salesmart.sinks.publish import read_partitioned, write_partitioned
 from salesmart.sources import testdata as td
@@ -59,12 +60,17 @@ def seller_rank(spark, sf_dir):
     return marts.seller_rank(_seller_monthly(spark, sf_dir))
 
 
+def _seller_sums(spark, sf_dir):
+    fact, customer, store, team = _star(spark, sf_dir)
+    return marts.seller_sums_from_fact(fact, customer, store), team
+
+
 def top_sellers(spark, sf_dir):
-    return marts.top_sellers(_seller_monthly(spark, sf_dir))
+    return marts.top_sellers(*_seller_sums(spark, sf_dir))
 
 
 def seller_incentive(spark, sf_dir):
-    return marts.seller_incentive(_seller_monthly(spark, sf_dir))
+    return marts.seller_mart_from_sums(*_seller_sums(spark, sf_dir))
 
 
 def customer_mart_detail(spark, sf_dir):
@@ -108,7 +114,7 @@ def partition_counts(spark, sf_dir):
 def fold_extra(spark, sf_dir):
     """Unexpected columns (here the two flags) folded into one."""
     sales = td.sales(spark, sf_dir)
-    return good_rows(conform(sales)).drop("additional_json")
+    return good_rows(conform(sales))
 
 
 def _write_drop(spark: SparkSession, sf_dir: str) -> str:
@@ -131,11 +137,133 @@ def _write_drop(spark: SparkSession, sf_dir: str) -> str:
 def conform_union(spark, sf_dir):
     """The CSV drop through listing, header contract, conformance and union."""
     got = ingest(spark, _write_drop(spark, sf_dir))
-    return got.rows.select("customer_id", "store_id", "sales_date", "total_cost", "additional_column")
+    return got.rows.select(*MANDATORY_COLUMNS, "additional_column")
 
 
 def unmatched_customers(spark, sf_dir):
-    return unmatched(td.sales(spark, sf_dir), td.customer_dim(spark, sf_dir), "customer_id")
+    # the cut of the dimension is what makes sales unmatched here
+    return unmatched(td.sales(spark, sf_dir), td.customer_dim(spark, sf_dir, least_balance=0), "customer_id")
+
+
+def unmatched_stores(spark, sf_dir):
+    dim = td.store_dim(spark, sf_dir).where(F.col("id") % 3 != 0)
+    return unmatched(td.sales(spark, sf_dir), dim, "store_id", "id")
+
+
+def unmatched_sellers(spark, sf_dir):
+    dim = td.sales_team_dim(spark, sf_dir).where("is_manager = 'N'")
+    return unmatched(td.sales(spark, sf_dir), dim, "sales_person_id", "id")
+
+
+# Files and rows of every case, written from the tables; folders tell the files apart.
+def _odd_drop(spark: SparkSession, sf_dir: str) -> str:
+    root = config.shared_path(spark, "queries", "odd_drop")
+    sales = td.sales(spark, sf_dir)
+    opts = {"header": True}
+
+    def put(df: DataFrame, folder: str) -> None:
+        df.write.options(**opts).csv(f"{root}/{folder}")
+
+    text = sales.select(*[F.col(c).cast("string") for c in MANDATORY_COLUMNS])
+    # every value that can be broken is broken in some rows, by the quantity
+    broken = text.withColumns({
+        "customer_id": F.when(F.col("quantity") % 10 == 1, F.concat(F.lit("c"), "customer_id")).otherwise(F.col("customer_id")),
+        "sales_date": F.when(F.col("quantity") % 10 == 2, F.lit("2023-13-45")).otherwise(F.col("sales_date")),
+        "total_cost": F.when(F.col("quantity") % 10 <= 2, F.lit("n/a")).otherwise(F.col("total_cost")),
+    })
+    put(broken.where(sales["payment_mode"] == "A"), "broken")
+    put(text.where(sales["payment_mode"] == "R").withColumnRenamed("product_name", " Product_Name "), "sales[1]?")
+    put(sales.where("payment_mode = 'N'").select(*MANDATORY_COLUMNS, F.col("channel").alias("city, state"), F.col("payment_mode").alias("payment.mode")), "sales 100%")
+    put(text.drop("store_id", "price"), "missing")
+    put(text.withColumn("again", F.lit("x")).toDF(*MANDATORY_COLUMNS, " Total_Cost"), "duplicate")
+    put(td.table(spark, sf_dir, "region"), "region")
+    td.table(spark, sf_dir, "nation").write.json(f"{root}/json")
+    return root
+
+
+def _folder(location):
+    return F.element_at(F.split(location, "/"), -2)
+
+
+def reject_files(spark, sf_dir):
+    """Folders of the odd drop whose files are set aside, with reason and missing columns."""
+    got = ingest(spark, _odd_drop(spark, sf_dir))
+    rows = got.rejected_files.where(~F.startswith("file_name", F.lit("_")))
+    return rows.select(_folder("file_location").alias("folder"), "reason", F.array_join(F.array_sort("missing_columns"), ",").alias("missing")).distinct()
+
+
+def bad_rows_by_column(spark, sf_dir):
+    """Rows of the odd drop by folder and the columns that do not cast."""
+    got = ingest(spark, _odd_drop(spark, sf_dir))
+    rows = got.conformed.select(_folder("file_location").alias("folder"), F.col("_errors").alias("errors"), "additional_column")
+    return rows.groupBy("folder", "errors").agg(F.count(F.lit(1)).alias("n"), F.count("additional_column").alias("n_additional"))
+
+
+def _job_dims(spark, sf_dir) -> job.Dimensions:
+    return job.Dimensions(*td.dimensions(spark, sf_dir))
+
+
+_published: dict[tuple[str, str], str] = {}
+
+
+def _two_drops(spark, sf_dir) -> str:
+    """The fact as CSV drops through the whole run: a month across both drops,
+    a drop offered again, same-named files in two folders, and files set aside
+    (runs that fail are for the tests).  Run once per session: the three
+    queries below read what it published."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known in _published:
+        return _published[known]
+    root, out = config.shared_path(spark, "queries", "job_drop"), config.shared_path(spark, "queries", "job_out")
+    sales = td.sales(spark, sf_dir).select(*MANDATORY_COLUMNS, "payment_mode")
+    dims = _job_dims(spark, sf_dir)
+
+    def put(mode: str, folder: str) -> None:
+        sales.where(F.col("payment_mode") == mode).drop("payment_mode").coalesce(1).write.option("header", True).csv(f"{root}/{folder}")
+
+    def rename(folder: str) -> None:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{folder}")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in fs.listStatus(path):
+            if status.getPath().getName().endswith(".csv"):
+                fs.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(f"{root}/{folder}/sales.csv"))
+
+    put("A", "first")
+    rename("first")
+    td.table(spark, sf_dir, "region").write.option("header", True).csv(f"{root}/region")
+    job.run(spark, root, out, dims)
+    if _nothing_new(spark, root, out, dims) is not None:
+        raise AssertionError("a file was counted twice")
+    put("R", "second")
+    rename("second")
+    put("N", "third")
+    job.run(spark, root, out, dims)
+    _published[known] = out
+    return out
+
+
+def _nothing_new(spark, root, out, dims):
+    try:
+        return job.run(spark, root, out, dims)
+    except NoValidFile:
+        return None
+
+
+def job_customer_monthly(spark, sf_dir):
+    return spark.read.parquet(f"{_two_drops(spark, sf_dir)}/customer_monthly").withColumn("sales_date_month", F.col("sales_date_month").cast("string"))
+
+
+def job_seller_monthly(spark, sf_dir):
+    return spark.read.parquet(f"{_two_drops(spark, sf_dir)}/seller_monthly").withColumn("sales_month", F.col("sales_month").cast("string"))
+
+
+def job_detail_committed(spark, sf_dir):
+    """The seller detail as readers see it, per month and store."""
+    detail = job.read_committed(spark, _two_drops(spark, sf_dir), "seller_detail")
+    return detail.groupBy("sales_month", F.col("store_id").cast("int").alias("store_id")).agg(
+        F.count(F.lit(1)).alias("n"), marts.money(F.sum("total_cost")).alias("total_cost")
+    )
 
 
 def _events_as_ledger(spark, sf_dir):
@@ -170,6 +298,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fold_extra": fold_extra,
     "conform_union": conform_union,
     "unmatched_customers": unmatched_customers,
+    "unmatched_stores": unmatched_stores,
+    "unmatched_sellers": unmatched_sellers,
+    "reject_files": reject_files,
+    "bad_rows_by_column": bad_rows_by_column,
+    "job_customer_monthly": job_customer_monthly,
+    "job_seller_monthly": job_seller_monthly,
+    "job_detail_committed": job_detail_committed,
     "ledger_latest": ledger_latest,
     "ledger_prior_run": ledger_prior_run,
 }

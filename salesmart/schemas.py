@@ -120,10 +120,19 @@ SELLER_MART_DETAIL = [
 STATUS_STARTED = "A"
 STATUS_DONE = "I"
 
+# A file's version is its full location, length and modification time: a
+# changed or re-delivered file is a new version.
+VERSION = ["file_location", "length", "modification_time"]
+_VERSION_FIELDS = [
+    T.StructField("file_name", T.StringType()),
+    T.StructField("file_location", T.StringType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("modification_time", T.TimestampType()),
+]
+
 LEDGER = T.StructType(
     [
-        T.StructField("file_name", T.StringType()),
-        T.StructField("file_location", T.StringType()),
+        *_VERSION_FIELDS,
         T.StructField("status", T.StringType()),
         T.StructField("event_ts", T.TimestampType()),
         T.StructField("run_id", T.LongType()),
@@ -132,9 +141,9 @@ LEDGER = T.StructType(
 
 REJECTS = T.StructType(
     [
-        T.StructField("file_name", T.StringType()),
-        T.StructField("file_location", T.StringType()),
+        *_VERSION_FIELDS,
         T.StructField("reason", T.StringType()),
         T.StructField("missing_columns", T.ArrayType(T.StringType())),
+        T.StructField("run_id", T.LongType()),
     ]
 )

@@ -24,6 +24,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
 

@@ -11,14 +11,18 @@ counts no file twice.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from salesmart.plans import job
+from salesmart.plans.ingest import NoValidFile
 from salesmart.sources.files import file_name_of
 
+log = logging.getLogger("salesmart.stream")
 
 # The binaryFile source's fixed schema (a stream source must be given one).
 BINARY_FILE = T.StructType(
@@ -59,7 +63,11 @@ def start(
     def each_batch(listing: DataFrame, epoch_id: int) -> None:
         if listing.isEmpty():
             return
-        job.run(spark, None, out_dir, dims, jdbc=jdbc, listing=listing)
+        try:
+            job.run(spark, drop_dir, out_dir, dims, jdbc=jdbc, listing=listing)
+        except NoValidFile as nothing:
+            # only files set aside, or a replayed batch that is done already
+            log.info("batch %d: %s", epoch_id, nothing)
 
     writer = (
         file_stream(spark, drop_dir, max_files_per_trigger)
