@@ -203,7 +203,12 @@ def sample_pages(pages: DataFrame, html: str = "html") -> list[str]:
     """At most SAMPLE pages with a landmark, spread by their hash: the bounded sample to learn from."""
     column = F.col(f"`{html}`").cast("string")
     some = pages.select(column.alias("html")).where(F.octet_length("html") <= SAMPLE_BYTES).where(F.col("html").rlike("(?i)<(article|main)[ >]"))
-    return [r["html"] for r in some.orderBy(F.xxhash64("html"), "html").limit(SAMPLE).collect()]
+    some = some.withColumn("spread", F.xxhash64("html"))
+    # first the smallest hashes alone, then only their pages reach the driver
+    last = some.select("spread").orderBy("spread").limit(SAMPLE).agg(F.max("spread")).first()[0]
+    if last is None:
+        return []
+    return [r["html"] for r in some.where(F.col("spread") <= last).orderBy("spread", "html").limit(SAMPLE).collect()]
 
 
 def extract(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
