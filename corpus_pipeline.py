@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm import decontam, neardup, packing, quality, secrets
-from salesmart.llm.common import settle, table
+from salesmart.llm.common import settle, small_batches, table
 from salesmart.llm.queries import tokenizer
 
 #: Quality scores below this go.
@@ -25,23 +25,29 @@ LEAST_QUALITY = 0.3
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return quality.keep(docs, table(spark, sf_dir, "labels"), LEAST_QUALITY)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return neardup.deduplicate(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return secrets.redact(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(docs, tokenizer(), capacity=2048, end_id=1)
+    small_batches(spark)
+    # the executors still hold what the earlier stages needed: remember fewer chunks
+    pieces = packing.pack(docs, tokenizer(), capacity=2048, end_id=1, cached=150_000)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "ids")
 
 

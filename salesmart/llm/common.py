@@ -22,7 +22,7 @@ NOT_WORD_SQL = r"[\x20\x09-\x0D]+"
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 
 #: Texts are handled in slices of about this many bytes, whatever the Arrow batch size.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows here are whole texts: hand them to Python a thousand at a time.
+
+    An executor that runs many steps keeps the buffers of the largest batch,
+    in the JVM and in its Python workers.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into slices of at most ``max_bytes`` of ``column`` (one row at least)."""
     for batch in batches:
@@ -146,8 +155,8 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
         return np.zeros(0, np.uint64)
     length = end - start
     total = np.concatenate(([0], np.cumsum(length)))
-    place = np.arange(total[-1]) - np.repeat(total[:-1], length)
-    values = data[place + np.repeat(start, length)].astype(np.uint64) + np.uint64(1)
+    place = np.arange(total[-1], dtype=np.int32) - np.repeat(total[:-1].astype(np.int32), length)
+    values = data[place + np.repeat(start.astype(np.int32), length)].astype(np.uint64) + np.uint64(1)
     # words over 64 bytes: each 64-byte turn uses another odd multiplier
     values *= _POWERS[place & 63]
     if length.max() > 64:

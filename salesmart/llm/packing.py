@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import settle, slices, texts
-from salesmart.llm.tokens import Encoder
+from salesmart.llm.tokens import CACHED, Encoder
 
 #: What one more piece may cost, in ids of padding.
 PIECE_COST = 12
@@ -52,12 +52,12 @@ def cut_table(capacity: int) -> list[tuple[int, ...]]:
     return cuts
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, cached: int = CACHED) -> DataFrame:
     """Documents cut into pieces: ``ids`` (32-bit little-endian), class length ``length``, and the piece's number within its worker and class."""
     cuts = cut_table(capacity)
 
     def run(batches):
-        encoder, end, worker = Encoder(tokenizer), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
+        encoder, end, worker = Encoder(tokenizer, cached), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
         numbered: dict[int, int] = {}
 
         def cut(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -104,10 +104,13 @@ def leftovers(totals: dict[int, int], capacity: int) -> tuple[list[tuple[int, in
     return places, len(room)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1) -> DataFrame:
-    """One row per piece: ``doc_id, start, length, doc_tokens, ids, sequence_id, offset``."""
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, cached: int = CACHED) -> DataFrame:
+    """One row per piece: ``doc_id, start, length, doc_tokens, ids, sequence_id, offset``.
+
+    ``cached``: chunks of text whose ids each worker remembers (about 200 bytes each).
+    """
     spark = docs.sparkSession
-    cut = settle(pieces(texts(docs), tokenizer, capacity, end_id), "packing")
+    cut = settle(pieces(texts(docs), tokenizer, capacity, end_id, cached), "packing")
     counts = cut.groupBy("length", "worker").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("worker").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("length", "worker", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"), "n")

@@ -40,6 +40,8 @@ from salesmart.llm.common import Words, by_slice, gram_hashes, inside, mix, sett
 WINDOW, GRAM = 13, 3
 #: Bytes of text whose strings share a bucket (the strings are about three times as long).
 BUCKET_BYTES = 8 << 20
+#: Bytes of text whose strings are packed together.
+PACK_BYTES = 4 << 20
 #: Cells of the frequency table; share of all runs from which a cell is frequent.
 CELL_BITS, FREQUENT = 20, 2.0**-15
 
@@ -213,7 +215,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     def pack(batches):
         own = TaskContext.get().partitionId() % buckets
-        for part in slices(batches):
+        for part in slices(batches, max_bytes=PACK_BYTES):
             if (out := super_kmers(part, frequent, buckets, own)) is not None:
                 yield out
 

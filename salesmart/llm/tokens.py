@@ -24,7 +24,8 @@ CACHED, LONGEST, AT_ONCE = 500_000, 64, 200_000
 class Encoder:
     """``tokenizers`` ids of whole texts as little-endian 32-bit bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED):
+        self.cached = cached
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -66,7 +67,7 @@ class Encoder:
         parts = [_CHUNK.findall(t) if t else [] for t in texts]
         used = set(chain.from_iterable(parts))
         new = used.difference(self.known)
-        if len(self.known) + len(new) > CACHED:
+        if len(self.known) + len(new) > self.cached:
             # what this slice uses is what repeats
             self.known = {chunk: self.known[chunk] for chunk in used.intersection(self.known)}
         self._learn(list(new))
