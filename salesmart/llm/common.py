@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterable, Iterator
 
@@ -71,6 +72,15 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", max_bytes: i
             at = end
 
 
+def release() -> None:
+    """Give freed memory back to the system: a reused Python worker otherwise keeps its largest task's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        return
+
+
 def by_slice(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch | None], schema: StructType | str, column: str = "text") -> DataFrame:
     """``mapInArrow`` that hands ``fn`` one bounded slice of texts at a time."""
 
@@ -82,6 +92,7 @@ def by_slice(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBat
             if isinstance(out, pa.RecordBatch):
                 out = (out,)
             yield from out
+        release()
 
     return df.mapInArrow(run, schema)
 

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import settle, slices, texts
+from salesmart.llm.common import release, settle, slices, texts
 from salesmart.llm.tokens import CACHED, Encoder
 
 #: What one more piece may cost, in ids of padding.
@@ -82,6 +82,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, cached:
 
         for part in slices(batches):
             yield cut(part)
+        encoder.known.clear()
+        release()
 
     key = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"doc_id {key}, start long, length long, doc_tokens long, worker long, number long, ids binary")
