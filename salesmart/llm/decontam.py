@@ -1,18 +1,20 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare words as seeds, then Smith-Waterman alignment.
 
-Every n-gram of a test item is a seed.  One pass over the documents counts the
-documents that hold each seed; of each item's seeds the rarest are kept, just
-enough that a document with the wanted share of the item in one piece holds
-one of them.  A second pass joins passages to items on these seeds and aligns
-each passage with its item, word by word (Smith-Waterman with linear gaps), so
-inserted, dropped and changed words lower the score instead of hiding a copy.
+An alignment that scores SHARE matches at least SHARE of the item's words,
+whatever was edited between them.  So of an item's words any choice of all but
+that many, and one, has a matched one: these are its seeds.  One pass over the
+documents counts the documents that hold each word, and the rarest are chosen.
+A second pass finds the stretch around each seed that an alignment through it
+could cover, passes over those that do not hold enough of the item's words,
+and aligns the others with the item, word by word (Smith-Waterman with linear
+gaps).  The result is that of aligning every document with every item.
 
 The items are the stated query set: they are taken in blocks of at most
 ``BLOCK_WORDS`` words, so that what a task holds is bounded whatever their
 number.  No document is moved, so a passage that a third of all documents
 share is aligned where it lies.
 
-Words are compared with A-Z in lower case.  Items of fewer than N_GRAM words
+Words are compared with A-Z in lower case.  Items of fewer than LEAST_WORDS words
 cannot be told from chance and match nothing, nor do NULL and empty texts.
 Equal items each get their links; repeated documents get the same links.
 """
@@ -28,20 +30,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from salesmart.llm.common import Words, by_slice, gram_hashes, inside, settle, slices, texts, without_ids
+from salesmart.llm.common import Words, by_slice, settle, slices, texts, without_ids
 
-#: Words of a seed; share of the best possible alignment score from which a passage counts.
-N_GRAM, SHARE = 5, 0.5
+#: Words of the shortest item; share of the best possible alignment score from which a passage counts.
+LEAST_WORDS, SHARE = 5, 0.5
 #: Scores of an equal word, a changed word, and a word in only one of the two.
 EQUAL, CHANGED, GAP = 2, -1, -1
 #: Words of items in one block; cells of one batch of alignments.
 BLOCK_WORDS, BATCH_CELLS = 1_000_000, 1 << 20
+#: Item words in the stretches that are counted together.
+BATCH_HITS = 1 << 20
 _TABLE_BITS = 20
 
 
 @dataclass
 class Block:
-    """Some items: their ids, word hashes, and seeds (sorted) with the places they come from."""
+    """Some items: their ids, word hashes, and distinct words (sorted) with the places they come from."""
 
     ids: list
     words: list[np.ndarray]
@@ -64,10 +68,9 @@ class Block:
 
 
 def make_block(ids: list, words: list[np.ndarray]) -> Block:
-    grams = [gram_hashes(w, N_GRAM) for w in words]
-    seed = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-    item = np.repeat(np.arange(len(words)), [len(g) for g in grams])
-    place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
+    seed = np.concatenate(words) if words else np.zeros(0, np.uint64)
+    item = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    place = np.concatenate([np.arange(len(w)) for w in words]) if words else np.zeros(0, np.int64)
     order = np.argsort(seed, kind="stable")
     seeds, first = np.unique(seed[order], return_index=True)
     return Block(ids, words, seeds, np.concatenate((first, [len(seed)])).astype(np.int64), item[order], place[order])
@@ -78,7 +81,7 @@ def blocks(items: DataFrame) -> Iterator[Block]:
     ids, words, held = [], [], 0
     for row in texts(items, key="item_id").orderBy("doc_id", "text").toLocalIterator():
         h = Words(pa.array([row["text"]], pa.string()), lower=True).hash
-        if len(h) < N_GRAM:
+        if len(h) < LEAST_WORDS:
             continue
         ids.append(row["doc_id"])
         words.append(h)
@@ -91,17 +94,16 @@ def blocks(items: DataFrame) -> Iterator[Block]:
 
 
 def hits(words: Words, block: Block, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word positions whose n-gram is a seed, and which seed."""
-    grams = gram_hashes(words.hash, N_GRAM)
-    at = np.flatnonzero(table[grams & np.uint64((1 << _TABLE_BITS) - 1)] & inside(words, N_GRAM))
-    seed = np.searchsorted(block.seeds, grams[at])
+    """Positions of the words that are seeds, and which seed."""
+    at = np.flatnonzero(table[words.hash & np.uint64((1 << _TABLE_BITS) - 1)])
+    seed = np.searchsorted(block.seeds, words.hash[at])
     seed[seed == len(block.seeds)] = 0
-    same = block.seeds[seed] == grams[at]
+    same = block.seeds[seed] == words.hash[at]
     return at[same], seed[same]
 
 
 def rarest(docs: DataFrame, block: Block) -> Block:
-    """The block with each item's rarest seeds: all but as many as a document with SHARE of the item must hold, and one."""
+    """The block with each item's rarest words: all but as many as a passage with SHARE of the score must match, and one."""
     table = block.table()
 
     def count(batches):
@@ -125,10 +127,45 @@ def rarest(docs: DataFrame, block: Block) -> Block:
     rank = np.arange(len(item)) - np.repeat(np.cumsum(size) - size, size)
     wanted = np.zeros(len(item), bool)
     # order puts equal counts in the order of their place, so ties are the same in every run
-    wanted[order] = rank <= size[item] - np.floor(SHARE * size[item])
+    wanted[order] = rank <= size[item] - np.ceil(SHARE * size[item])
     return block.keep(wanted)
 
 
+class Overlap:
+    """Tells which stretches of a slice hold as many of an item's words as a passage with SHARE of the score must match."""
+
+    def __init__(self, block: Block):
+        self.block, self.items = block, len(block.ids)
+        owner = np.repeat(np.arange(len(block.seeds)), np.diff(block.first))
+        self.need = np.ceil(SHARE * np.array([len(w) for w in block.words]))
+        # each word of each item, and how often it stands there
+        self.pairs, self.times = np.unique(owner * np.int64(self.items) + block.item, return_counts=True)
+
+    def enough(self, at: np.ndarray, seed: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Which stretches ``low:high``, given the positions ``at`` of the block's words."""
+        begin, many = np.searchsorted(at, low), np.searchsorted(at, high)
+        many -= begin
+        good = many >= self.need[item]
+        some = np.flatnonzero(good)
+        ends = np.cumsum(many[some])
+        done = 0
+        while done < len(some):
+            base = ends[done - 1] if done else 0
+            stop = max(done + 1, int(np.searchsorted(ends, base + BATCH_HITS, "right")))
+            part, n = some[done:stop], many[some[done:stop]]
+            owner = np.repeat(np.arange(len(part)), n)
+            hit = np.repeat(begin[part] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            key = seed[hit] * np.int64(self.items) + item[part][owner]
+            which = np.searchsorted(self.pairs, key)
+            which[which == len(self.pairs)] = 0
+            own = self.pairs[which] == key
+            both, times = np.unique(owner[own] * np.int64(len(self.pairs)) + which[own], return_counts=True)
+            matched = np.bincount(both // len(self.pairs), np.minimum(times, self.times[both % len(self.pairs)]), len(part))
+            good[part] = matched >= self.need[item[part]]
+            done = stop
+        return good
+
+
 def align(passages: list[np.ndarray], items: list[np.ndarray]) -> np.ndarray:
     """Best local alignment score of each passage with its item."""
     best = np.zeros(len(items), np.int64)
@@ -176,8 +213,9 @@ def links(docs: DataFrame, items: DataFrame) -> DataFrame:
     schema = f"doc_id {key}, item_id {item_key}, score double, start_word long, end_word long"
     out = docs.sparkSession.createDataFrame([], schema)
 
-    def joined(block: Block) -> DataFrame:
+    def joined(whole: Block, block: Block) -> DataFrame:
         table, length = block.table(), np.array([len(w) for w in block.words])
+        all_words, overlap = whole.table(), Overlap(whole)
 
         def run(part):
             words = Words(part.column("text"), lower=True)
@@ -188,9 +226,14 @@ def links(docs: DataFrame, items: DataFrame) -> DataFrame:
             which = np.repeat(block.first[seed] - np.cumsum(many) + many, many) + np.arange(many.sum())
             spot, item, place = np.repeat(at, many), block.item[which], block.place[which]
             row, size = words.doc[spot], length[block.item[which]]
-            # the stretch of the document that the item would cover, with room for inserted words
-            low = np.maximum(spot - place - size // 2 - N_GRAM, words.first[row])
-            high = np.minimum(spot - place + size + size // 2 + N_GRAM, words.first[row + 1])
+            # the stretch of the document that the item would cover, with room for as many inserted words as leave SHARE
+            room = np.floor(EQUAL * size * (1 - SHARE) / -GAP).astype(np.int64)
+            low = np.maximum(spot - place - room, words.first[row])
+            high = np.minimum(spot - place + size + room, words.first[row + 1])
+            held = overlap.enough(*hits(words, whole, all_words), item, low, high)
+            if not held.any():
+                return None
+            row, item, low, high = row[held], item[held], low[held], high[held]
             order = np.lexsort((low, item, row))
             row, item, low, high = row[order], item[order], low[order], high[order]
             # overlapping stretches of one document and item are one passage
@@ -212,7 +255,7 @@ def links(docs: DataFrame, items: DataFrame) -> DataFrame:
         return by_slice(docs, run, schema)
 
     for block in blocks(items):
-        out = out.unionByName(joined(rarest(docs, block)))
+        out = out.unionByName(joined(block, rarest(docs, block)))
     return out
 
 

@@ -69,6 +69,36 @@ def test_edited_copies(spark):
     assert spans == {(True, True)}
 
 
+def test_lone_edited_copies_against_all_alignments(spark):
+    """One densely edited copy of each item, whose intact words stand nowhere else."""
+    rng = np.random.default_rng(8)
+    noise = lambda n: [f"n{k}" for k in rng.integers(0, 500, n)]
+    items, docs = [], []
+    for number in range(48):
+        item = [f"i{number}x{k}" if rng.random() < 0.7 else f"n{rng.integers(500)}" for k in range(int(rng.integers(15, 60)))]
+        every, copy = 2 + number // 4 % 6, []
+        for k, w in enumerate(item):
+            new = f"e{number}x{k}"
+            copy += [w] if k % every != every - 1 else ([new], [w, new], [], [w] + [new] * (k % 3))[number % 4]
+        items.append((number, " ".join(item)))
+        docs.append((number, " ".join(noise(40) + copy + noise(40))))
+    # 20 words, the 7th and the 14th changed: 6 of 16 5-grams intact
+    words_20 = [f"q{k}" for k in range(20)]
+    items.append((48, " ".join(words_20)))
+    docs.append((48, " ".join(noise(30) + [f"z{k}" if k in (6, 13) else w for k, w in enumerate(words_20)] + noise(30))))
+    want = {}
+    for doc, text in docs:
+        for item, question in items:
+            score = smith_waterman(words(question), words(text)) / (2 * len(words(question)))
+            if score >= 0.5:
+                want.setdefault(doc, {})[item] = score
+    assert len(want) > 35 and want[48] == {48: 0.85}
+    tables = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    rows = decontam.report(*tables).collect()
+    assert {r["doc_id"]: r["item_ids"] for r in rows if r["contaminated"]} == {d: sorted(found) for d, found in want.items()}
+    assert all(np.isclose(r["score"], max(want.get(r["doc_id"], {0: 0}).values())) for r in rows)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_alignment_against_the_recurrence(seed):
     rng = np.random.default_rng(seed)
