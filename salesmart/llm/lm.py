@@ -13,10 +13,12 @@ with one added to each word and one word that stands for all unseen ones - the
 same events as the base score's, so that the two can be compared.
 
 *Model.*  A gated recurrent unit in numpy, trained by backpropagation through
-BACK steps.  Every partition trains on segments of its share of all training
-documents (one segment in EVERY in each round), carrying the state from window
-to window; after each of ROUNDS rounds the partitions' weights are averaged,
-summed chunk by chunk on the executors.  It starts as the unigram model.
+BACK steps.  Each training document belongs to one of ROUNDS rounds, by a hash
+of its text, and is read there to its end, so that every token is learned from
+once.  Every partition reads its documents in BATCH lanes, each document in one
+lane with its state carried from window to window; after each round the
+partitions' weights are averaged, summed chunk by chunk on the executors.  It
+starts as the unigram model.
 
 *Scores.*  A document is read whole, its state carried to its end.
 
@@ -28,6 +30,7 @@ unseen.  An empty table gives no row.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from heapq import heapify, heapreplace
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +41,12 @@ from salesmart.llm.common import Words, mix, settle, slices, texts
 
 #: Words known to every task; words with a softmax over their class; members of such a class.
 TOP, HEAD, MEMBERS = 1 << 18, 1024, 32
-#: State size, steps of backpropagation, windows in a segment, segments in a batch.
-STATE, BACK, WINDOWS, BATCH = 24, 32, 2, 256
-#: Rounds of averaging, and the share of segments in each: one in EVERY.
-ROUNDS, EVERY = 3, 12
+#: State size, steps of backpropagation, lanes of documents that are read side by side.
+STATE, BACK, BATCH = 24, 32, 256
+#: Tokens of an update, at least; waiting tokens from which a window is taken however few lanes are filled.
+LEAST_UPDATE, WAITING = BATCH * BACK // 2, 1 << 20
+#: Rounds of averaging.
+ROUNDS = 3
 RATE, SEED = 0.01, 20252
 #: Bytes of text that are scored together; values of a chunk of weights.
 SCORE_BYTES, CHUNK = 12 << 20, 4096
@@ -179,8 +184,8 @@ class Network:
                 slope[some] += p @ self.m[k].T
         return out, slope
 
-    def window(self, code: np.ndarray, fresh: np.ndarray, kind: np.ndarray, member: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray, Network]:
-        """Loss, last state and slopes over a window (lanes x steps); ``fresh`` steps start from an empty state."""
+    def window(self, code: np.ndarray, fresh: np.ndarray, kind: np.ndarray, member: np.ndarray, h: np.ndarray, real: np.ndarray | None = None) -> tuple[float, np.ndarray, Network]:
+        """Loss, last state and slopes over a window (lanes x steps); ``fresh`` steps start from an empty state, those not ``real`` only pad a lane's end."""
         lanes, steps = code.shape
         grad, held, states = Network.empty(self.flat.dtype), [], []
         for t in range(steps):
@@ -189,7 +194,12 @@ class Network:
             held.append((h, z, r, rh, c))
             states.append(new)
             h = new
-        log, slope = self.outputs(np.concatenate(states), kind.T.ravel(), member.T.ravel(), grad)
+        after = np.concatenate(states)
+        if real is None:
+            log, slope = self.outputs(after, kind.T.ravel(), member.T.ravel(), grad)
+        else:
+            some, slope = real.T.ravel(), np.zeros_like(after)
+            log, slope[some] = self.outputs(after[some], kind.T.ravel()[some], member.T.ravel()[some], grad)
         back = np.zeros_like(h)
         slopes_x = np.empty((steps, lanes, 3 * STATE), self.flat.dtype)
         for t in reversed(range(steps)):
@@ -278,44 +288,73 @@ def vocabulary(table: DataFrame) -> Vocabulary:
     return Vocabulary.of(word.view(np.uint64), n.astype(np.int64), int(sums["total"] or 0), int(sums["distinct"]))
 
 
+class Lanes:
+    """Training of one partition: documents wait in lanes, whose next BACK tokens are a window."""
+
+    def __init__(self, net: Network):
+        self.net, self.adam, self.seen = net, Adam(net), 0
+        self.held = [np.zeros((0, 4), np.int16)] * BATCH
+        self.at, self.left = np.zeros(BATCH, np.int64), np.zeros(BATCH, np.int64)
+        self.h = np.zeros((BATCH, STATE), np.float32)
+        self.slope, self.tokens = np.zeros_like(net.flat), 0
+
+    def read(self, words: Words, v: Vocabulary) -> None:
+        """Each document of a slice goes to the lane with the least waiting; then all windows that fill enough lanes."""
+        rank, first = _stream(words, v)
+        code, fresh = _seen(rank, first)
+        rows = np.stack([code, fresh, Vocabulary.output(rank), np.where(rank < HEAD, rank, 0) % MEMBERS], axis=1).astype(np.int16)
+        new = [[self.held[k][self.at[k] :]] for k in range(BATCH)]
+        least = [(n, k) for k, n in enumerate(self.left.tolist())]
+        heapify(least)
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+            n, k = least[0]
+            new[k].append(rows[a:b])
+            heapreplace(least, (n + b - a, k))
+        self.held, self.at = [np.concatenate(x) for x in new], np.zeros(BATCH, np.int64)
+        self.left = np.array([len(x) for x in self.held])
+        while (n := np.count_nonzero(self.left >= BACK)) and (n >= BATCH // 2 or self.left.sum() > WAITING):
+            self.window(np.flatnonzero(self.left >= BACK))
+
+    def finish(self) -> None:
+        """What still waits; the last window of a lane is padded."""
+        while len(some := np.flatnonzero(self.left)):
+            self.window(some)
+        if self.tokens:
+            self.update()
+
+    def window(self, some: np.ndarray) -> None:
+        rows, n = np.zeros((len(some), BACK, 4), np.int16), np.minimum(self.left[some], BACK)
+        for row, (k, a, m) in enumerate(zip(some.tolist(), self.at[some].tolist(), n.tolist())):
+            rows[row, :m] = self.held[k][a : a + m]
+        real = None if n.min() == BACK else np.arange(BACK) < n[:, None]
+        code, fresh, kind, member = (rows[:, :, k].astype(np.int64) for k in range(4))
+        _, self.h[some], grad = self.net.window(code, fresh.astype(bool), kind, member, self.h[some], real)
+        self.at[some] += n
+        self.left[some] -= n
+        self.slope += grad.flat
+        self.tokens += int(n.sum())
+        self.seen += int(n.sum())
+        if self.tokens >= LEAST_UPDATE:
+            self.update()
+
+    def update(self) -> None:
+        self.adam.update(self.slope / max(self.tokens, LEAST_UPDATE))
+        self.slope[:], self.tokens = 0, 0
+
+
 def train_network(docs: DataFrame, v: Vocabulary) -> Network:
     """Rounds of training in the partitions; after each, the mean of their weights by the tokens they saw."""
     net = Network.start(v)
     for turn in range(ROUNDS):
         sent = net.flat
 
-        def learn(batches, turn=turn, sent=sent):
+        def learn(batches, sent=sent):
             own = Network(sent.copy())
-            adam, seen, waiting = Adam(own), 0, []
-            length = BACK * WINDOWS
-
-            def batch(rows):
-                nonlocal seen
-                code, fresh, kind, member = (np.concatenate([w[k] for w in rows]) for k in range(4))
-                h = np.zeros((len(code), STATE), np.float32)
-                for at in range(0, length, BACK):
-                    cut = slice(at, at + BACK)
-                    _, h, grad = own.window(code[:, cut], fresh[:, cut], kind[:, cut], member[:, cut], h)
-                    adam.update(grad.flat / (len(code) * BACK))
-                seen += code.size
-
-            lanes = 0
-            for number, part in enumerate(slices(batches)):
-                rank, first = _stream(Words(part.column("text"), lower=True), v)
-                code, fresh = _seen(rank, first)
-                whole = len(rank) // length * length
-                fields = (code, fresh, Vocabulary.output(rank), np.where(rank < HEAD, rank, 0) % MEMBERS)
-                # every partition takes other segments in each round
-                offset = (turn * EVERY // ROUNDS + number) % EVERY
-                some = [x[:whole].reshape(-1, length)[offset::EVERY] for x in fields]
-                waiting.append(some)
-                lanes += len(some[0])
-                while lanes >= BATCH:
-                    joined = [np.concatenate([w[k] for w in waiting]) for k in range(4)]
-                    batch([[x[:BATCH] for x in joined]])
-                    waiting, lanes = [[x[BATCH:] for x in joined]], lanes - BATCH
-            if lanes:
-                batch(waiting)
+            lanes = Lanes(own)
+            for part in slices(batches):
+                lanes.read(Words(part.column("text"), lower=True), v)
+            lanes.finish()
+            seen = lanes.seen
             if seen:
                 at = np.arange(0, len(own.flat), CHUNK)
                 weighted = own.flat.astype(np.float64) * seen
@@ -331,7 +370,9 @@ def train_network(docs: DataFrame, v: Vocabulary) -> Network:
                 yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([s for s, _ in sums.values()], pa.int64()), pa.array([x.tobytes() for _, x in sums.values()], pa.binary())], ["at", "seen", "sums"])
 
         kind = "at long, seen long, sums binary"
-        parts = docs.mapInArrow(learn, kind).repartition("at").mapInArrow(add, kind).collect()
+        # equal texts are read in the same round, whatever the order of the rows
+        own_docs = docs.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == turn)
+        parts = own_docs.mapInArrow(learn, kind).repartition("at").mapInArrow(add, kind).collect()
         if not parts:
             return net
         flat = np.empty_like(sent)

@@ -118,3 +118,49 @@ def test_state_is_carried_to_the_end_of_each_row():
             h = net.step(np.array([c]), h)[0]
             log += net.outputs(h, lm.Vocabulary.output(np.array([r])), np.array([max(r, 0) % lm.MEMBERS]))[0][0]
         assert np.isclose(log, together[k], rtol=1e-4)
+
+
+def test_every_token_is_learned_from_once_with_its_state(spark, monkeypatch):
+    """All tokens of all documents, each behind its predecessor in one lane; long, short and empty ones."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 50, n)) for n in (0, 1, 31, 32, 63, 64, 65, 700, *rng.integers(0, 200, 300))]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    v = lm.vocabulary(lm.counts(docs))
+    rounds = []
+    for turn in range(lm.ROUNDS):
+        rounds.append([r["text"] for r in docs.where(f"pmod(xxhash64(text), {lm.ROUNDS}) = {turn}").collect()])
+    assert sorted(t for some in rounds for t in some) == sorted(texts) and all(rounds)
+    net, taken, run = lm.Network.start(v), Counter(), lm.Network.window
+
+    def window(self, code, fresh, kind, member, h, real=None):
+        real = np.ones(code.shape, bool) if real is None else real
+        taken.update(zip(code[real].tolist(), fresh[real].tolist(), kind[real].tolist(), member[real].tolist()))
+        # a lane that goes on in a document brings a state along
+        assert (fresh[:, 0] | (h != 0).any(axis=1)).all()
+        return run(self, code, fresh, kind, member, h, real)
+
+    monkeypatch.setattr(lm.Network, "window", window)
+    lanes = lm.Lanes(net)
+    want, seen = Counter(), 0
+    for at in range(0, len(texts), 100):
+        words = Words(pa.array(texts[at : at + 100]), lower=True)
+        lanes.read(words, v)
+        rank, first = lm._stream(words, v)
+        code, fresh = lm._seen(rank, first)
+        want.update(zip(code.tolist(), fresh.tolist(), lm.Vocabulary.output(rank).tolist(), (np.where(rank < lm.HEAD, rank, 0) % lm.MEMBERS).tolist()))
+        seen += len(rank)
+    lanes.finish()
+    assert taken == want and lanes.seen == seen == sum(len(t.split()) + 1 for t in texts)
+
+
+def test_padding_does_not_teach():
+    rng = np.random.default_rng(3)
+    net = lm.Network.empty(np.float64)
+    net.flat[:] = rng.normal(0, 0.3, len(net.flat))
+    code, fresh = rng.integers(0, lm.CODES + 1, (2, 6)), np.zeros((2, 6), bool)
+    kind, member = rng.integers(0, lm.OUTPUTS, (2, 6)), rng.integers(0, lm.MEMBERS, (2, 6))
+    h = rng.normal(size=(2, lm.STATE))
+    real = np.arange(6) < np.array([6, 2])[:, None]
+    loss, _, grad = net.window(code, fresh, kind, member, h, real)
+    parts = [net.window(*(x[k : k + 1, :n] for x in (code, fresh, kind, member)), h[k : k + 1]) for k, n in ((0, 6), (1, 2))]
+    assert np.isclose(loss, sum(p[0] for p in parts)) and np.allclose(grad.flat, sum(p[2].flat for p in parts))
