@@ -5,8 +5,10 @@ Besides, every unbroken string that could be a credential (see CANDIDATE)
 near a sensitive word is compressed with a zstandard dictionary primed with
 the text around it and a list of common identifiers: what an author would
 write there costs few marginal bytes, a random credential nearly all of its
-information.  Candidates whose marginal bytes reach NOVEL of their length are
-reported as ``novel``.
+information.  Candidates whose marginal bytes reach NOVEL of what random
+characters of their alphabet hold are reported as ``novel``.  Candidates parted
+only by line ends, quotes and the like are one run (the lines of a key): a
+sensitive word near its ends counts for all of them.
 
 Spans are code points, end exclusive.  NULL and empty texts have no spans;
 repeated rows are reported once each.
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from math import log2
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,8 +38,15 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 SENSITIVE = re.compile(r"passw|secret|token|api.?key|credential|private|auth|bearer|access.?key|client.?id|signature|\bpwd\b|\bkey\b|://[^\s/]*:", re.A | re.I)
 #: Code points on each side that are searched for sensitive words and prime the dictionary.
 NEAR, AROUND = 48, 512
-#: Marginal bytes for each byte of the string, from which it is reported.
-NOVEL = 0.7
+#: What may part the lines of one key; the short last line of a key block.
+_GAP = r"""(?:[\s"'`,;#*>|.]|\\[nrt]?){1,32}"""
+BETWEEN = re.compile(_GAP)
+LAST_LINE = re.compile(rf"{_GAP}([A-Za-z0-9+/_=]{{1,15}})(?={_GAP}-+END\b)")
+#: Marginal bytes as a share of the information of random characters, from which a string is reported.
+NOVEL = 0.93
+#: Alphabets that keys are written in, smallest first; symbols come on top.
+ALPHABETS = ((16, re.compile(r"[0-9A-F]*|[0-9a-f]*")), (22, re.compile(r"[0-9A-Fa-f]*")), (32, re.compile(r"[A-Z2-7]*|[a-z2-7]*")), (36, re.compile(r"[A-Z0-9]*|[a-z0-9]*")))
+_SYMBOL = re.compile(r"[+/_=-]")
 #: Identifiers that code and configuration commonly hold; they prime every dictionary.
 IDENTIFIERS = (
     b"access_key api_key apikey application/json auth_token authorization authentication basic bearer base64 "
@@ -62,6 +72,29 @@ def novelty(candidate: bytes, around: bytes) -> float:
     return (len(coder.compress(candidate)) - plain) / len(candidate)
 
 
+def information(candidate: str) -> float:
+    """Bytes that each character of ``candidate`` holds if it is random in its alphabet."""
+    bare = _SYMBOL.sub("", candidate)
+    size = next((n for n, kind in ALPHABETS if kind.fullmatch(bare)), 62)
+    return log2(size + len(set(_SYMBOL.findall(candidate)))) / 8
+
+
+def runs(text: str) -> list[list[re.Match]]:
+    """The candidates of ``text`` in runs of adjacent ones."""
+    out: list[list[re.Match]] = []
+    for m in CANDIDATE.finditer(text):
+        if out and BETWEEN.fullmatch(text, out[-1][-1].end(), m.start()):
+            out[-1].append(m)
+        else:
+            out.append([m])
+    return out
+
+
+def sensitive(text: str, start: int, end: int) -> bool:
+    """Whether a sensitive word lies near ``start:end``."""
+    return bool(SENSITIVE.search(text[max(0, start - NEAR) : start]) or SENSITIVE.search(text[end : end + NEAR]))
+
+
 def plausible(string: str) -> bool:
     """Credentials mix digits with letters; plain and numbered words do not."""
     digits = sum(c.isdigit() for c in string)
@@ -85,15 +118,20 @@ def find(text: str | None) -> list[tuple[int, int, int]]:
         spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     if b"x" * LEAST_NOVEL in raw.translate(_TO_CANDIDATE):
         known = sorted(spans)
-        for m in CANDIDATE.finditer(text):
-            start, end = m.span()
-            if not plausible(m[0]) or any(a < end and start < b for a, _, b in known):
-                continue
-            if not SENSITIVE.search(text[max(0, start - NEAR) : start]) and not SENSITIVE.search(text[end : end + NEAR]):
-                continue
-            around = text[max(0, start - AROUND) : start] + " " + text[end : end + AROUND]
-            if novelty(m[0].encode(), around.encode("utf-8", "replace")) >= NOVEL:
-                spans.append((start, 3, end))
+        for run in runs(text):
+            whole, reported = sensitive(text, run[0].start(), run[-1].end()), False
+            for m in run:
+                start, end = m.span()
+                if not plausible(m[0]) or any(a < end and start < b for a, _, b in known):
+                    continue
+                if not whole and not sensitive(text, start, end):
+                    continue
+                around = text[max(0, start - AROUND) : start] + " " + text[end : end + AROUND]
+                if novelty(m[0].encode(), around.encode("utf-8", "replace")) >= NOVEL * information(m[0]):
+                    spans.append((start, 3, end))
+                    reported = True
+            if reported and whole and (last := LAST_LINE.match(text, run[-1].end())):
+                spans.append((last.start(1), 3, last.end(1)))
     return sorted(spans)
 
 

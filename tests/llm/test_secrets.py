@@ -53,6 +53,33 @@ def test_novel_strings_in_sensitive_context():
     assert found >= 195 and clean == 0
 
 
+@pytest.mark.parametrize("before, between", [("", "\n"), ("", "\r\n"), ("    ", "\n"), ('"', '\\n",\n'), ("# ", "\n")])
+def test_all_lines_of_a_key_block(before, between):
+    rng = random.Random(4)
+    body = "".join(rng.choice(string.ascii_letters + string.digits + "+/") for _ in range(64 * 24 + 10)) + "=="
+    lines = [body[k : k + 64] for k in range(0, len(body), 64)]
+    head, tail = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    text = "".join(before + x + between for x in ["some text", head, *lines, tail, "more text"])
+    clean = secrets.redact_text(text)
+    assert not any(x in clean for x in lines)
+    assert clean.startswith(before + "some text" + between + before + head) and clean.endswith(tail + between + before + "more text" + between)
+
+
+def test_random_strings_of_small_alphabets():
+    rng = random.Random(6)
+    for alphabet in ("0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz0123456789"):
+        for n in (32, 64, 128, 400):
+            keys = ["".join(rng.choice(alphabet) for _ in range(n)) for _ in range(20)]
+            assert sum("novel:" in secrets.listed(secrets.find(f"the credential ({k}) of it")) for k in keys) >= 19
+
+
+def test_runs_without_a_sensitive_word_are_left_alone():
+    rng = random.Random(7)
+    lines = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(64)) for _ in range(9)]
+    text = "picture data:\n" + "\n".join(lines) + "\nend of it, and much later on in the same paragraph of the text: a private matter"
+    assert [k for k in range(9) if lines[k] not in secrets.redact_text(text)] == []
+
+
 def test_repeated_and_plain_strings_are_left_alone():
     key = "Zk3fQ9xLw81TbVs0RmYp"
     assert secrets.find(f"auth {key} and again {key} {key}") == []
