@@ -8,7 +8,7 @@ the columns of ``documents``.
 
 Nulls, empty texts, repeated rows, extra columns and empty tables are handled
 as the operators state: NULL and empty texts are documents that the quality
-stage scores; repeated ids are one document from the second stage on.
+stage scores; rows of one id, or without one, go only as copies of each other.
 """
 
 from __future__ import annotations

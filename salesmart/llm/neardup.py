@@ -1,7 +1,8 @@
 """Near-duplicates by a chosen-path set similarity join, then exact links.
 
 A document is the set of its distinct word shingles.  Equal sets are one
-class, settled by a group-by; the join runs over class representatives.
+class, settled by a group-by; the join runs over classes, each with a key of
+its own, so that neither NULL nor repeated ids can join or part them.
 
 *Trees.*  Each set has SIGNATURE minwise tokens.  Every tree branches the
 representatives by a chosen token (those with an equal token meet in a node);
@@ -34,8 +35,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from salesmart.llm.common import Words, by_slice, gram_hashes, id_filter, mix, settle, split_by_ids, texts
+from salesmart.llm.common import Words, by_slice, gram_hashes, id_filter, mix, release, settle, slices, split_by_ids, texts
 
 #: Words of a shingle; similarity as a ratio of integers.
 SHINGLE, ABOVE, BELOW = 4, 80, 100
@@ -76,13 +78,17 @@ def signature(tokens: np.ndarray) -> np.ndarray:
     return (mix(low) >> np.uint64(32)).astype("<u4")
 
 
+def fingerprint(tokens: np.ndarray) -> bytes | None:
+    return blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
+
+
 def sets(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, print`` (128 bits of the set), ``sig`` and ``sketch`` (a byte of each token); empty sets have none."""
     docs = texts(docs)
 
     def run(part):
         found = shingle_sets(part.column("text"))
-        prints = [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in found]
+        prints = [fingerprint(s) for s in found]
         # equal sets of one slice share a signature
         known: dict[bytes, tuple[bytes, bytes]] = {}
         for p, s in zip(prints, found):
@@ -248,6 +254,8 @@ def _forest_edges(rows: DataFrame, key: str, value: str, compare) -> DataFrame:
                     if open_ is not None and (out := done()) is not None:
                         yield out
                     reps, values, open_ = [], [], k
+                elif reps and reps[-1] == r:  # sent by several tasks
+                    continue
                 reps.append(r)
                 values.append(x)
         if open_ is not None and (out := done()) is not None:
@@ -283,42 +291,44 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def cluster_sets(docs: DataFrame, clusters: DataFrame) -> DataFrame:
-    """``cluster, rep, tokens``: the full sets of the representatives in ``clusters``.
+    """``cluster, rep, tokens``: the full sets of the classes in ``clusters`` (``cluster, rep, print`` and a member's ``id``).
 
     Documents in no cluster are not moved: the join is behind a filter of the
-    members' hashed ids.
+    members' hashed ids.  A task sends each set once.
     """
-    member = id_filter(clusters.select("rep"))
-    docs = texts(docs)
+    member = id_filter(clusters.select("id"))
 
-    def some(batches):
+    def run(batches):
+        sent = set()
         for batch in batches:
-            yield batch.filter(pa.array(member(batch.column("doc_id"))))
+            for part in slices([batch.filter(pa.array(member(batch.column("doc_id"))))]):
+                found = {}
+                for tokens in shingle_sets(part.column("text")):
+                    mark = fingerprint(tokens)
+                    if mark is not None and mark not in sent:
+                        sent.add(mark)
+                        found[mark] = tokens.tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())], ["print", "tokens"])
+        release()
 
-    near = docs.mapInArrow(some, docs.schema).join(clusters.withColumnRenamed("rep", "doc_id"), "doc_id")
-
-    def run(part):
-        return pa.RecordBatch.from_arrays(
-            [part.column("cluster"), part.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(part.column("text"))], pa.binary())], ["cluster", "rep", "tokens"]
-        )
+    return texts(docs).mapInArrow(run, "print binary, tokens binary").join(clusters.select("print", "cluster", "rep"), "print").select("cluster", "rep", "tokens")
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return by_slice(near.select("cluster", "doc_id", "text"), run, f"cluster {clusters.schema['cluster'].dataType.simpleString()}, rep {kind}, tokens binary")
 
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every document."""
+def grouped(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, print, component_id, first`` of every document; ``first`` is the print of the component's class that stays."""
     all_sets = settle(sets(docs), "neardup-sets")
-    classes = all_sets.where("print IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n"))
-    classes = settle(classes, "neardup-classes")
-    reps = classes.where("rep IS NOT NULL").select("rep", "sig", "sketch", "n")
+    classes = all_sets.where("print IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n"))
+    # the keys are fixed by being written
+    classes = settle(classes.withColumn("rep", F.monotonically_increasing_id()), "neardup-classes")
+    reps = classes.select("rep", "sig", "sketch", "n")
     members = leaves(reps).join(reps.select("rep", "sketch"), "rep")
 
     def by_sketch(values):
         return sketch_forest(np.frombuffer(b"".join(values), np.uint8).reshape(len(values), SIGNATURE))
 
     candidates = components(_forest_edges(members, "node", "sketch", by_sketch)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
-    weight = candidates.join(reps.select("rep", "n"), "rep").groupBy("cluster").agg(F.sum(F.col("n") * 8).alias("bytes"))
+    candidates = settle(candidates.join(classes.select("rep", "id", "print", "n"), "rep"), "neardup-candidates")
+    weight = candidates.groupBy("cluster").agg(F.sum(F.col("n") * 8).alias("bytes"))
     # two blocks of half the bound each meet in a task
     split = settle(weight.where(F.col("bytes") > CLUSTER_BYTES).select("cluster", F.ceil(F.col("bytes") * 2 / CLUSTER_BYTES).alias("blocks")), "neardup-large")
     full = cluster_sets(docs, candidates).join(split, "cluster", "left")
@@ -327,21 +337,45 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     def by_set(values):
         return exact_forest([np.frombuffer(v, np.uint64) for v in values])
 
-    linked = components(_forest_edges(parts, "cluster", "tokens", by_set))
-    classes = classes.select("print", "rep").join(linked.withColumnRenamed("node", "rep"), "rep", "left").select("print", F.coalesce("component", "rep").alias("component"))
+    linked = components(_forest_edges(parts, "cluster", "tokens", by_set)).withColumnRenamed("node", "rep").join(candidates.select("rep", "id", "print"), "rep")
+    # the smallest id stays, NULL last; of its texts the one of the smallest print
+    best = linked.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "print")).alias("best"))
+    linked = linked.join(best, "component").select("print", F.lit(True).alias("linked"), F.col("best.id").alias("best_id"), F.col("best.print").alias("best_print"))
+    classes = classes.select("print", "id").join(linked, "print", "left")
+    classes = classes.select("print", F.when(F.col("linked"), F.col("best_id")).otherwise(F.col("id")).alias("component_id"), F.coalesce("best_print", "print").alias("first"))
     out = all_sets.select("doc_id", "n_shingles", "print").join(classes, "print", "left")
-    component = F.when(F.col("print").isNull(), F.col("doc_id")).otherwise(F.col("component"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    component = F.when(F.col("print").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "n_shingles", "print", component.alias("component_id"), "first")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every document."""
+    return grouped(docs).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each group of near-duplicates, all columns unchanged; repeated ids are one document.
+    """One row of ``docs`` for each group of near-duplicates, all columns unchanged.
 
-    Only rows of documents that go, or whose id is repeated, are moved.
+    Rows of one id, or without one, are a group only if their texts are; texts
+    without words if they are equal and of one id.  Only rows of documents that
+    go, or whose id is repeated, are moved.
     """
-    found = settle(near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "neardup-kept")
-    special = found.where("NOT kept OR n > 1").select(F.col("doc_id").alias("_id"), F.col("kept").alias("_kept"))
-    clear, near = split_by_ids(docs, special.select("_id"))
-    near = near.join(special, F.col("doc_id").eqNullSafe(F.col("_id")), "left").where(F.coalesce("_kept", F.lit(True)))
-    return clear.unionByName(near.dropDuplicates(["doc_id"]).select(docs.columns))
+    stays = F.col("print").isNull() | (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("print") == F.col("first")))
+    found = settle(grouped(docs).select("doc_id", "print", stays.alias("kept")), "neardup-kept")
+    special = found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("NOT kept OR n > 1")
+    clear, near = split_by_ids(docs, special.select("doc_id"))
+
+    def marked(batches):
+        for part in slices(batches):
+            column = part.column(part.schema.get_field_index("text"))
+            prints = [fingerprint(s) for s in shingle_sets(column.cast(pa.string()))]
+            # texts without words: NULL, or the text itself
+            keys = [p if p is not None else b"" if t is None else b"t" + t.encode() for p, t in zip(prints, column.to_pylist())]
+            fields = [*part.schema.names, "_print", "_key"]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(prints, pa.binary()), pa.array(keys, pa.binary())], fields)
+        release()
+
+    near = near.mapInArrow(marked, StructType([*docs.schema.fields, StructField("_print", BinaryType()), StructField("_key", BinaryType())]))
+    gone = found.where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("print").alias("_gone")).distinct()
+    near = near.join(gone, (F.col("_print") == F.col("_gone")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    return clear.unionByName(near.dropDuplicates(["doc_id", "_key"]).select(docs.columns))

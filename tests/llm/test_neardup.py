@@ -88,3 +88,23 @@ def test_shingle_sets_of_short_texts():
     sets = neardup.shingle_sets(pa.array(["a", "A", "a b", "b a", "", None, "a b c d", "a b c d e"]))
     assert sets[0].tolist() == sets[1].tolist() != sets[2].tolist() != sets[3].tolist()
     assert [len(s) for s in sets] == [1, 1, 1, 1, 0, 0, 1, 2]
+
+
+def test_null_and_repeated_ids_lose_copies_only(spark):
+    """Rows without an id, or of one id, go only where another row has nearly their text."""
+    rng = np.random.default_rng(9)
+    clean = [" ".join(f"c{k}" for k in rng.integers(0, 10**6, 60)) for _ in range(90)]
+    ids = [k if k % 3 == 0 else None if k % 3 == 1 else 1000 for k in range(90)]
+    rows = list(zip(ids, clean))
+    base = [f"b{k}" for k in range(100)]
+    near = copies(rng, base, 3, 1, 3)
+    # exact and near copies without an id, of one id, and of other ids
+    groups = [[(None, near[0]), (None, near[1]), (None, near[0])], [(500, f"d {near[0]}".replace("b", "x")), (500, f"d {near[1]}".replace("b", "x"))], [(700, near[2].replace("b", "y")), (None, near[1].replace("b", "y"))]]
+    blank = [(None, ""), (None, " "), (None, None), (2000, ""), (2000, "\t"), (2001, "")]
+    docs = spark.createDataFrame(rows + [r for g in groups for r in g] + blank + [(2000, "")], "doc_id long, text string").repartition(5)
+    got = [tuple(r) for r in neardup.deduplicate(docs).collect()]
+    assert set(rows) <= set(got) and set(blank) <= set(got)
+    assert [sum(r in g for r in got) for g in groups] == [1, 1, 1] and groups[2][0] in got
+    assert len(got) == len(set(got)) == len(rows) + len(blank) + 3
+    links = {(r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(docs).collect()}
+    assert (None, 700) in links
