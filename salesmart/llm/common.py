@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import re
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from salesmart.config import shared_path
+from salesmart.sinks.publish import remove_path
 
 #: A word: a run of characters other than the six ASCII white-space characters.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -47,6 +50,20 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``settle``, with the folder, for a table that ``discard`` removes when it has been used."""
+    spark = df.sparkSession
+    path = shared_path(spark, "llm", name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch folders whose readers have run."""
+    for path in paths:
+        remove_path(spark, path)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Rows here are whole texts: hand them to Python a thousand at a time.
 
@@ -72,8 +89,22 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", max_bytes: i
             at = end
 
 
-def release() -> None:
-    """Give freed memory back to the system: a reused Python worker otherwise keeps its largest task's."""
+def worker_store() -> dict:
+    """What this Python worker keeps between tasks.
+
+    Functions are pickled by value, so module variables begin anew in every
+    task; this dictionary hangs on the worker's interpreter.
+    """
+    return sys.modules.setdefault("_salesmart_worker", types.ModuleType("_salesmart_worker")).__dict__.setdefault("store", {})
+
+
+def release(keep: bool = False) -> None:
+    """Give freed memory back to the system: a reused Python worker otherwise keeps its largest task's.
+
+    What the worker stored goes too unless ``keep``: another operator has begun.
+    """
+    if not keep:
+        worker_store().clear()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -81,7 +112,7 @@ def release() -> None:
         return
 
 
-def by_slice(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch | None], schema: StructType | str, column: str = "text") -> DataFrame:
+def by_slice(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch | None], schema: StructType | str, column: str = "text", keep: bool = False) -> DataFrame:
     """``mapInArrow`` that hands ``fn`` one bounded slice of texts at a time."""
 
     def run(batches):
@@ -92,7 +123,7 @@ def by_slice(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBat
             if isinstance(out, pa.RecordBatch):
                 out = (out,)
             yield from out
-        release()
+        release(keep)
 
     return df.mapInArrow(run, schema)
 
@@ -121,9 +152,10 @@ class Words:
     ``data``: the slice's UTF-8 bytes; ``start`` / ``end``: byte range of each
     word; ``doc``: row of each word; ``first``: index of each row's first word
     (one more entry at the end); ``hash``: a 64-bit hash of each word.
+    ``parts`` tells the bytes that part words.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, parts: np.ndarray = _SPACE):
         column = column.cast(pa.large_string())
         n = len(column)
         if column.null_count:
@@ -135,7 +167,7 @@ class Words:
         if lower:
             data = _LOWER[data]
         # a virtual blank after each row parts the words of neighbouring rows
-        blank = _SPACE[data]
+        blank = parts[data]
         word = ~blank
         begins = word.copy()
         begins[1:] &= blank[:-1]

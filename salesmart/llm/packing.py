@@ -16,6 +16,8 @@ packed once each.  An empty table gives no row.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import release, settle, slices, texts
-from salesmart.llm.tokens import CACHED, Encoder
+from salesmart.llm.tokens import CACHED, encoder, joined
 
 #: What one more piece may cost, in ids of padding.
 PIECE_COST = 12
@@ -52,19 +54,19 @@ def cut_table(capacity: int) -> list[tuple[int, ...]]:
     return cuts
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, cached: int = CACHED) -> DataFrame:
-    """Documents cut into pieces: ``ids`` (32-bit little-endian), class length ``length``, and the piece's number within its worker and class."""
+def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, cached: int = CACHED, width: int = 2) -> DataFrame:
+    """Documents cut into pieces: ``ids`` (little-endian, ``width`` bytes each), their ``ids_crc32`` as 32-bit ids, class length ``length``, and the piece's number within its worker and class."""
     cuts = cut_table(capacity)
 
     def run(batches):
-        encoder, end, worker = Encoder(tokenizer, cached), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
+        encode, end, worker = encoder(tokenizer, cached), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
         numbered: dict[int, int] = {}
 
         def cut(part: pa.RecordBatch) -> pa.RecordBatch:
-            rows, start, length, number, ids, total = [], [], [], [], [], []
-            for row, coded in enumerate(encoder(part.column("text").to_pylist())):
-                coded += end
-                n, at = len(coded) // 4, 0
+            rows, start, length, number, total = [], [], [], [], []
+            all_ids, counts = joined(encode(part.column("text").to_pylist()), end)
+            for row, n in enumerate(counts.tolist()):
+                at = 0
                 for size in (*(capacity,) * (n // capacity), *cuts[n % capacity]):
                     seen = numbered.get(size, 0)
                     numbered[size] = seen + 1
@@ -72,21 +74,25 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, cached:
                     start.append(at)
                     length.append(size)
                     number.append(seen)
-                    ids.append(coded[4 * at : 4 * (at + size)])
                     total.append(n)
                     at += size
             key = part.column("doc_id").take(pa.array(rows, pa.int64()))
             longs = [pa.array(x, pa.int64()) for x in (start, length, total, number)]
             workers = pa.array(np.full(len(rows), worker), pa.int64())
-            return pa.RecordBatch.from_arrays([key, longs[0], longs[1], longs[2], workers, longs[3], pa.array(ids, pa.binary())], ["doc_id", "start", "length", "doc_tokens", "worker", "number", "ids"])
+            # the pieces follow each other as the ids do
+            ends = np.concatenate(([0], np.cumsum(length))).astype(np.int64)
+            wide = memoryview(all_ids.tobytes())
+            crc = pa.array([zlib.crc32(wide[4 * a : 4 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.int64())
+            raw = pa.py_buffer(all_ids.astype(f"<u{width}").tobytes())
+            ids = pa.Array.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer((width * ends).tobytes()), raw]).cast(pa.binary())
+            return pa.RecordBatch.from_arrays([key, longs[0], longs[1], longs[2], workers, longs[3], crc, ids], ["doc_id", "start", "length", "doc_tokens", "worker", "number", "ids_crc32", "ids"])
 
         for part in slices(batches):
             yield cut(part)
-        encoder.known.clear()
-        release()
+        release(keep=True)
 
     key = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {key}, start long, length long, doc_tokens long, worker long, number long, ids binary")
+    return docs.mapInArrow(run, f"doc_id {key}, start long, length long, doc_tokens long, worker long, number long, ids_crc32 long, ids binary")
 
 
 def leftovers(totals: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int]], int]:
@@ -106,13 +112,15 @@ def leftovers(totals: dict[int, int], capacity: int) -> tuple[list[tuple[int, in
     return places, len(room)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, cached: int = CACHED) -> DataFrame:
-    """One row per piece: ``doc_id, start, length, doc_tokens, ids, sequence_id, offset``.
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, cached: int = CACHED, width: int = 2) -> DataFrame:
+    """One row per piece: ``doc_id, start, length, doc_tokens, ids_crc32, ids, sequence_id, offset``.
 
-    ``cached``: chunks of text whose ids each worker remembers (about 200 bytes each).
+    ``cached``: chunks of text whose ids each worker remembers (about 200 bytes
+    each).  ``width``: bytes of an id in ``ids`` (2 for vocabularies up to
+    65,536); ``ids_crc32`` is of the ids as 32-bit integers.
     """
     spark = docs.sparkSession
-    cut = settle(pieces(texts(docs), tokenizer, capacity, end_id, cached), "packing")
+    cut = settle(pieces(texts(docs), tokenizer, capacity, end_id, cached, width), "packing")
     counts = cut.groupBy("length", "worker").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("worker").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("length", "worker", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"), "n")
@@ -134,7 +142,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
         .join(rest, ["length", "place"], "left")
     )
     return placed.select(
-        "doc_id", "start", "length", "doc_tokens", "ids",
+        "doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids",
         F.coalesce("seq", F.col("base") + F.expr("place div per")).alias("sequence_id"),
         F.coalesce("shift", F.col("place") % F.col("per") * F.col("length")).alias("offset"),
     )

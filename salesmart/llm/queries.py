@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontam, extraction, lm, neardup, packing, quality, repeats, rules, secrets, tokenfiles
+from salesmart.llm import alignment, decontam, entities, extraction, lm, neardup, packing, quality, ranking, repeats, rules, secrets, tokenfiles
 from salesmart.llm.common import table
 
 
@@ -19,7 +19,7 @@ def tokenizer() -> str:
 
 def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer(), capacity=2048, end_id=1)
-    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op2_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +63,21 @@ def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities.scan(table(spark, sf_dir, "documents"))
+
+
+def op12_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), a, b)
+
+
+def op13_length_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_super_kmers": op2_super_kmers,
@@ -74,6 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_boosted_dom": op8_boosted_dom,
     "op9_secret_novelty": op9_secret_novelty,
     "op10_chosen_path": op10_chosen_path,
+    "op11_skip_chain": op11_skip_chain,
+    "op12_token_links": op12_token_links,
+    "op13_length_strata": op13_length_strata,
 }
 
-ORACLE: dict[str, str] = {"op7_rule_ledger": rules.ORACLE}
+ORACLE: dict[str, str] = {"op7_rule_ledger": rules.ORACLE, "op13_length_strata": ranking.ORACLE}

@@ -11,7 +11,8 @@ Shards hold ascending ranges of keys.  Each task writes its own shard under a
 temporary name and renames it, so a repeated task leaves the same files.
 
 NULL keys come first and are a key like any other; repeated keys are
-consecutive records of one slot (ordered by text).  NULL text is empty: the
+consecutive records of one slot in each shard they
+reach (ordered by a hash of the text and the text).  NULL text is empty: the
 end id alone.  An empty table has no shard and reads as no row.
 """
 
@@ -30,11 +31,13 @@ from pyspark.sql import functions as F
 
 from salesmart.config import shared_path
 from salesmart.llm.common import mix, settle, slices, texts
-from salesmart.llm.tokens import Encoder
+from salesmart.llm.tokens import encoder, joined
 
 MAGIC = b"TOKSHRD1"
 #: Bits of a level for each key that is left, and levels at most (keys beyond them are listed).
 GAMMA, LEVELS = 2, 32
+#: Ids that one read of the payload takes at most (a longer record is read alone).
+SPAN = 1 << 20
 
 
 def key_hashes(keys: list) -> np.ndarray:
@@ -164,14 +167,14 @@ def write(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 2, width: int
         context = TaskContext.get()
         name = f"shard-{context.partitionId():07d}"
         mine = f"{root}/.{name}-{context.taskAttemptId()}-{uuid.uuid4().hex}"
-        encoder, end = Encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         lengths, keys, repeats = [], [], []
         with files.open_output_stream(f"{mine}.ids") as payload:
             for part in slices(batches):
-                for key, coded in zip(part.column("doc_id").to_pylist(), encoder(part.column("text").to_pylist())):
-                    ids = np.frombuffer(coded + end, "<u4")
-                    payload.write(ids.astype(f"<u{width}").tobytes())
-                    lengths.append(len(ids))
+                ids, counts = joined(encode(part.column("text").to_pylist()), end)
+                payload.write(ids.astype(f"<u{width}").tobytes())
+                lengths += counts.tolist()
+                for key in part.column("doc_id").to_pylist():
                     if keys and key == keys[-1]:
                         repeats[-1] += 1
                     else:
@@ -193,13 +196,25 @@ def write(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 2, width: int
             ["shard", "first_key", "has_null", "records", "ids"],
         )
 
-    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # one id may have any share of the rows: its rows are parted by their texts
+    spread = F.xxhash64("text")
+    ordered = docs.repartitionByRange("doc_id", spread).sortWithinPartitions("doc_id", spread, "text")
     manifest = settle(ordered.mapInArrow(run, f"shard string, first_key {kind}, has_null boolean, records long, ids long"), "tokenfiles-manifest")
     # one row per shard
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("ids_before", F.coalesce(F.sum("ids").over(before), F.lit(0)))
 
 
+def spans(start: np.ndarray, stop: np.ndarray) -> list[slice]:
+    """Records that follow each other in the payload, up to about SPAN ids at once."""
+    out, a = [], 0
+    for k in range(1, len(start) + 1):
+        if k == len(start) or start[k] != stop[k - 1] or stop[k] - start[a] > SPAN:
+            out.append(slice(a, k))
+            a = k
+    return out
+
+
 def read(keys: DataFrame, uri: str, manifest: DataFrame, tokens: bool = True) -> DataFrame:
     """Look up the distinct ``doc_id`` of ``keys``: one row per record, ``doc_id, start, n_tokens, ids_crc32`` and, if ``tokens``, the ``ids`` (32-bit).
 
@@ -212,15 +227,20 @@ def read(keys: DataFrame, uri: str, manifest: DataFrame, tokens: bool = True) ->
         return keys.sparkSession.createDataFrame([], f"doc_id {kind}, start long, n_tokens long, ids_crc32 long" + ", ids binary" * tokens)
     known = [i for i, s in enumerate(shards) if s[1] is not None]
     firsts = [shards[i][1] for i in known]
-    null_shard = next((i for i, s in enumerate(shards) if s[2]), 0)
+    null_shards = [i for i, s in enumerate(shards) if s[2]]
 
     def route(batches):
-        from bisect import bisect_right
+        from bisect import bisect_left, bisect_right
 
         for batch in batches:
             column = batch.column("doc_id")
-            at = [null_shard if k is None else known[max(0, bisect_right(firsts, k) - 1)] if known else 0 for k in column.to_pylist()]
-            yield pa.RecordBatch.from_arrays([column, pa.array(at, pa.int64())], ["doc_id", "shard"])
+            rows, at = [], []
+            for row, k in enumerate(column.to_pylist()):
+                # an id may end one shard and fill those that begin with it
+                some = null_shards if k is None else known[max(0, bisect_left(firsts, k) - 1) : max(1, bisect_right(firsts, k))]
+                rows += [row] * len(some)
+                at += some
+            yield pa.RecordBatch.from_arrays([column.take(pa.array(rows, pa.int64())), pa.array(at, pa.int64())], ["doc_id", "shard"])
 
     def look(batches):
         files, root = _files(uri)
@@ -238,18 +258,16 @@ def read(keys: DataFrame, uri: str, manifest: DataFrame, tokens: bool = True) ->
                 which = np.repeat(np.arange(len(first)), count)
                 record = np.repeat(first - np.cumsum(count) + count, count) + np.arange(len(which))
                 start, stop = index.offsets[record].astype(np.int64), index.offsets[record + 1].astype(np.int64)
-                for lo in range(0, len(which), 1000):
-                    rows, crc, ids = slice(lo, lo + 1000), [], []
-                    for a, b in zip(start[rows].tolist(), stop[rows].tolist()):
-                        coded = np.frombuffer(payload.read_at((b - a) * index.width, a * index.width), f"<u{index.width}").astype("<u4").tobytes()
-                        crc.append(zlib.crc32(coded))
-                        if tokens:
-                            ids.append(coded)
-                    out = [some.take(pa.array(which[rows])), pa.array(start[rows] + shards[shard][3]), pa.array((stop - start)[rows]), pa.array(crc, pa.int64())]
-                    yield pa.RecordBatch.from_arrays(out + [pa.array(ids, pa.binary())] * tokens, ["doc_id", "start", "n_tokens", "ids_crc32"] + ["ids"] * tokens)
+                for rows in spans(start, stop):
+                    lo, hi = int(start[rows][0]), int(stop[rows][-1])
+                    coded = memoryview(np.frombuffer(payload.read_at((hi - lo) * index.width, lo * index.width), f"<u{index.width}").astype("<u4").tobytes())
+                    parts = [coded[4 * (a - lo) : 4 * (b - lo)] for a, b in zip(start[rows].tolist(), stop[rows].tolist())]
+                    out = [some.take(pa.array(which[rows])), pa.array(start[rows] + shards[shard][3]), pa.array((stop - start)[rows]), pa.array([zlib.crc32(x) for x in parts], pa.int64())]
+                    yield pa.RecordBatch.from_arrays(out + [pa.array([bytes(x) for x in parts], pa.binary())] * tokens, ["doc_id", "start", "n_tokens", "ids_crc32"] + ["ids"] * tokens)
 
     routed = keys.select("doc_id").distinct().mapInArrow(route, f"doc_id {kind}, shard long")
-    routed = routed.repartition("shard").sortWithinPartitions("shard", "doc_id")
+    # a number of partitions of its own: keys are small, the payload they stand for is not
+    routed = routed.repartition(len(shards), "shard").sortWithinPartitions("shard", "doc_id")
     return routed.mapInArrow(look, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long" + ", ids binary" * tokens)
 
 

@@ -13,6 +13,8 @@ from itertools import chain
 
 import numpy as np
 
+from salesmart.llm.common import worker_store
+
 #: Unicode's White_Space characters.
 _WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
@@ -22,15 +24,20 @@ CACHED, LONGEST, AT_ONCE = 500_000, 64, 200_000
 
 
 class Encoder:
-    """``tokenizers`` ids of whole texts as little-endian 32-bit bytes."""
+    """``tokenizers`` ids of whole texts as little-endian 32-bit bytes.
+
+    As a plain call does, the string of a special token gives its id; with
+    ``plain`` it is ordinary text.  A special token holds no white space, so
+    it lies whole in one chunk.
+    """
 
-    def __init__(self, path: str, cached: int = CACHED):
+    def __init__(self, path: str, cached: int = CACHED, plain: bool = False):
         self.cached = cached
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
         # a byte-level token's text has one character for each byte
         self.size = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, number in self.tokenizer.get_vocab().items():
@@ -77,3 +84,18 @@ class Encoder:
             if len(chunk) > LONGEST:
                 del self.known[chunk]
         return out
+
+
+def encoder(path: str, cached: int = CACHED, plain: bool = False) -> Encoder:
+    """This worker's encoder: built once, its known chunks serve later tasks too."""
+    key = (path, cached, plain)
+    store = worker_store()
+    if key not in store:
+        store[key] = Encoder(path, cached, plain)
+    return store[key]
+
+
+def joined(coded: list[bytes], end: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a slice's texts, each followed by ``end``, and their numbers."""
+    ids = np.frombuffer(b"".join(chain.from_iterable((c, end) for c in coded)), "<u4")
+    return ids, np.fromiter(map(len, coded), np.int64, len(coded)) // 4 + len(end) // 4

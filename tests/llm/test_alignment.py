@@ -1,0 +1,100 @@
+import hashlib
+from bisect import bisect_left
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from salesmart.llm import alignment
+from salesmart.llm.queries import QUERIES
+
+A, B = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+
+
+def plain(docs):
+    """By comparing byte ranges token by token: rows in the order of ``docs``."""
+    a_model, b_model = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B)
+    a_model.encode_special_tokens = True
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(x for x in range(256) if x not in shown)}
+    rows, links, corpus = [], [], Counter()
+    for doc, text in docs:
+        raw = (" " + text).encode() if text else b""
+        a = [(k, bytes(byte[c] for c in a_model.id_to_token(k))) for k in a_model.encode(" " + text, add_special_tokens=False).ids] if text else []
+        b = [(k, bytes([int(b_model.id_to_piece(k)[3:5], 16)]) if b_model.is_byte(k) else b_model.id_to_piece(k).replace("▁", " ").encode()) for k in b_model.encode(text)] if text else []
+        if b"".join(x for _, x in a) != raw or b"".join(x for _, x in b) != raw:
+            a = b = []
+        spans = []
+        for tokens in (a, b):
+            at, out = 0, []
+            for k, x in tokens:
+                out.append((k, at, at + len(x)))
+                at += len(x)
+            spans.append(out)
+        ends = sorted({e for _, _, e in spans[0]} & {e for _, _, e in spans[1]})
+        groups = defaultdict(lambda: ([], []))
+        for side in (0, 1):
+            for k, _, e in spans[side]:
+                groups[bisect_left(ends, e)][side].append(str(k))
+        owner = [k for k, s, e in spans[1] for _ in range(s, e)]
+        begin = [s for _, s, e in spans[1] for _ in range(s, e)]
+        mine = [(k, owner[p]) for k, s, e in spans[0] for p in range(s, e) if p == s or p == begin[p]]
+        text = ";".join("|".join(",".join(x) for x in groups[g]) for g in sorted(groups))
+        rows.append((doc, len(a), len(b), len(ends), len(mine), sum(len(x) * len(y) for x, y in groups.values()), hashlib.sha256(text.encode()).hexdigest() if a else ""))
+        links.append(mine)
+        corpus.update(set(mine))
+    best = defaultdict(int)
+    for (x, _), c in corpus.items():
+        best[x] = max(best[x], c)
+    return sorted(((*r[:6], sum(corpus[p] == best[p[0]] for p in l), sum(corpus[p] for p in l), r[6]) for r, l in zip(rows, links)), key=repr)
+
+
+COLUMNS = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_shared", "n_best", "count_sum", "groups_sha256")
+
+
+def test_query_against_byte_ranges(spark, sf):
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    got = QUERIES["op12_token_links"](spark, sf).collect()
+    assert sorted((tuple(r[c] for c in COLUMNS) for r in got), key=repr) == plain(docs)
+
+
+def test_odd_rows(spark, odd):
+    got = alignment.align(odd, A, B).collect()
+    assert sorted((tuple(r[c] for c in COLUMNS) for r in got), key=repr) == plain([(r["doc_id"], r["text"]) for r in odd.collect()])
+    assert alignment.align(odd.limit(0), A, B).count() == 0
+
+
+def test_texts_that_do_not_join(spark):
+    texts = ["a ▁ b", "▁", " ", "  two  blanks ", "\x00 nul <s> </s> <unk> <0x41>", "é ﬁ Å ｶﾞ 日本 \U0001f600", "tab\tline\r\n\x85 \xa0 　", "<|endoftext|>x", "a" * 3000 + " " * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in alignment.align(docs, A, B).collect()}
+    assert sorted((tuple(r[c] for c in COLUMNS) for r in got.values()), key=repr) == plain(list(enumerate(texts)))
+    assert got[0]["n_a"] == 0 and got[0]["groups_sha256"] == "" and got[7]["n_a"] > 3
+
+
+@pytest.mark.parametrize("expanded", [1, 7, 1 << 22])
+def test_products_against_dense_matrices(monkeypatch, expanded):
+    monkeypatch.setattr(alignment, "EXPANDED", expanded)
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        x, y = rng.random((rng.integers(1, 9), 6)) < 0.3, rng.random((rng.integers(1, 9), 6)) < 0.3
+        csr = lambda z: alignment.CSR(np.concatenate(([0], np.cumsum(z.sum(1)))), np.nonzero(z)[1], z.shape[1])
+        dense = np.zeros((len(x), len(y)), int)
+        for rows, columns, values in csr(x).product(csr(y).transposed()):
+            assert (dense[rows, columns] == 0).all()
+            dense[rows, columns] = values
+        want = x.astype(int) @ y.T.astype(int)
+        assert (dense == want).all() and (csr(x).expanded(csr(y).transposed()) == want.sum(1)).all()
+
+
+def test_many_copies_in_small_slices(spark, monkeypatch):
+    """A third of the rows are copies; counts do not depend on how documents are sliced."""
+    docs = [(k, "the same text again" if k % 3 == 0 else f"another text {k % 40} entirely") for k in range(600)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = plain(docs)
+    for parts in (1, 13):
+        got = alignment.align(df.repartition(parts), A, B).collect()
+        assert sorted((tuple(r[c] for c in COLUMNS) for r in got), key=repr) == want

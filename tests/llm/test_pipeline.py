@@ -75,11 +75,10 @@ def test_secrets(stages):
 
 def test_packing(stages):
     t = Tokenizer.from_file(tokenizer())
-    t.encode_special_tokens = True
     docs = [(d, r["text"]) for d, r in by_id(stages[4]).items()]
     rows = stages[5].collect()
     check(rows, docs, lambda text: t.encode(text or "", add_special_tokens=False).ids, 2048)
-    assert all(len(np.frombuffer(r["ids"], "<u4")) == r["length"] for r in rows)
+    assert all(len(np.frombuffer(r["ids"], "<u2")) == r["length"] for r in rows)
 
 
 def test_run_gives_the_last_stage(spark, sf, stages):

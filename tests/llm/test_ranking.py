@@ -1,0 +1,87 @@
+import math
+import re
+from collections import Counter
+
+import duckdb
+import pytest
+
+from salesmart.llm import ranking
+from salesmart.llm.queries import ORACLE, QUERIES
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain(docs, items, k=50):
+    """All scores of all documents; rows (item, rank, doc, score)."""
+    counts = [(d, Counter(TERM.findall((t or "").translate(LOWER)))) for d, t in docs]
+    counts = [(d, c) for d, c in counts if c]
+    n_docs, n_terms = len(counts), sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    out = []
+    for item, text in items:
+        terms = set(TERM.findall((text or "").translate(LOWER)))
+        scores = []
+        for d, c in counts:
+            m = 100 - 50 + (50 * sum(c.values()) * n_docs) // n_terms
+            s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((1000000000 * c[t]) // (1000 * c[t] + 20 * m)) for t in terms if t in c)
+            if s > 0:
+                scores.append((-s, d is None, d or 0, d))
+        out += [(item, rank, d, -s) for rank, (s, _, _, d) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def rows(df):
+    return sorted((tuple(r[c] for c in ("item_id", "rank", "doc_id", "score")) for r in df.collect()), key=repr)
+
+
+def pairs(df, key):
+    return [tuple(r) for r in df.select(key, "text").collect()]
+
+
+def test_query_against_all_scores_and_sql(spark, sf):
+    got = rows(QUERIES["op13_length_strata"](spark, sf))
+    docs, items = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
+    assert got == plain(pairs(docs, "doc_id"), pairs(items, "item_id"))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    assert got == sorted(con.execute(f"SELECT item_id, rank, doc_id, score FROM ({ORACLE['op13_length_strata']})").fetchall(), key=repr)
+
+
+@pytest.fixture
+def crowded(spark):
+    """A third of the documents of one length, many ties, very frequent terms, some long documents."""
+    texts = [f"the same few words w{k % 7} x{k % 3}" for k in range(400)] + ["the " * (k % 50) + f"w{k % 11} é{k} Z_z" for k in range(700)] + ["the end w1 " * 3000, "", None, "\n--!"]
+    return spark.createDataFrame([(10_000 - k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+
+
+@pytest.mark.parametrize("block, item_bytes, first, scores", [(1 << 20, 1 << 22, 6, 1 << 22), (200, 1 << 22, 1, 700), (50, 40, 2, 1 << 22)])
+def test_small_blocks_and_waves(spark, crowded, monkeypatch, block, item_bytes, first, scores):
+    for name, value in (("BLOCK_TOKENS", block), ("ITEM_BYTES", item_bytes), ("FIRST", first), ("SCORES", scores)):
+        monkeypatch.setattr(ranking, name, value)
+    items = spark.createDataFrame([(1, "The words"), (2, "w1 w2 the THE x0"), (3, "é699 nothing else"), (4, "unseen"), (5, ""), (6, None), (7, "Z z")], "item_id long, text string")
+    assert rows(ranking.search(crowded, items, 20)) == plain(pairs(crowded, "doc_id"), pairs(items, "item_id"), 20)
+
+
+def test_bounds_leave_blocks_out(spark, crowded):
+    """The second wave scores less than all, and what it leaves out cannot reach the threshold."""
+    stats = ranking.Statistics(crowded)
+    index = ranking.build(crowded, stats).cache()
+    items = ranking.Items(spark.createDataFrame([(1, "é650 z")], "item_id long, text string").toArrow())
+    items.weights[:] = [ranking.weight(stats.n_docs, x) for x in ranking._document_counts(index, items).tolist()]
+    floor = items.weights.max() * 400_000
+    kept = ranking._visit(index, items, 5, items.weights[:1] * 0 + floor, None).collect()
+    every = ranking._visit(index, items, 10_000, items.weights[:1] * 0, None).collect()
+    assert sorted(r["score"] for r in kept) == sorted(r["score"] for r in every if r["score"] >= floor)[-5:]
+
+
+def test_long_documents_do_not_overflow():
+    assert ranking.normaliser(10**8, 10**12, 10**14) == 50 + 50 * 10**8 * 10**12 // 10**14
+
+
+def test_odd_rows(spark, odd):
+    items = spark.createDataFrame([(1, "quick fox"), (1, "quick fox"), (None, "no id here"), (3, "zehn endoftext")], "item_id long, text string").selectExpr("*", "'clash' AS doc_id", "1 AS score")
+    got = rows(ranking.search(odd, items))
+    assert got == plain(pairs(odd, "doc_id"), pairs(items, "item_id"))
+    assert ranking.search(odd.limit(0), items).count() == 0 and ranking.search(odd, items.limit(0)).count() == 0

@@ -9,7 +9,6 @@ from salesmart.llm.queries import QUERIES, tokenizer
 
 def expected(docs):
     t = Tokenizer.from_file(tokenizer())
-    t.encode_special_tokens = True
     out, start = [], 0
     for doc, text in sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0, d[1] is not None, d[1] or "")):
         ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
