@@ -25,18 +25,22 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import discard, release, scratch, settle, slices, texts, worker_store
-from salesmart.llm.tokens import encoder
+from salesmart.llm.tokens import encoder, ranges, text_bytes
 
 #: A's id is the upper, B's the lower half of a pair.
 SHIFT = 32
+#: Bytes of text that are aligned at once.
+SLICE = 1 << 20
 #: Chunks of text whose ids a worker remembers.
 CACHED = 300_000
 #: Entries that a product expands at once.
@@ -119,30 +123,54 @@ def _unicode_bytes() -> dict[str, int]:
     return {**{chr(b): b for b in shown}, **{chr(256 + k): b for k, b in enumerate(rest)}}
 
 
+class Bytes:
+    """The bytes of every token of a vocabulary."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.size = np.array([len(x) for x in tokens], np.int64)
+        self.at = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def differ(self, ids: np.ndarray, count: np.ndarray, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Which rows' tokens do not join to the row's bytes."""
+        total = np.concatenate(([0], np.cumsum(self.size[ids])))
+        ends = np.cumsum(count)
+        size = total[ends] - total[ends - count]
+        bad = size != np.diff(bounds)
+        good = np.flatnonzero(~bad & (size > 0))
+        if len(good):
+            mine = ids[ranges((ends - count)[good], count[good])]
+            equal = self.data[ranges(self.at[mine], self.size[mine])] == data[ranges(bounds[good], size[good])]
+            bad[good[~np.logical_and.reduceat(equal, np.cumsum(size[good]) - size[good])]] = True
+        return bad
+
+
 class Pair:
     """Tokenizers A (byte-level BPE, with a blank before the text) and B (pieces)."""
 
     def __init__(self, a: str, b: str):
         self.a = encoder(a, CACHED, plain=True)
-        self.model, self.b_bytes = _piece_bytes(b)
+        self.model, pieces = _piece_bytes(b)
         table = _unicode_bytes()
-        self.a_bytes = [b""] * len(self.a.size)
+        tokens = [b""] * len(self.a.size)
         for token, number in self.a.tokenizer.get_vocab().items():
-            self.a_bytes[number] = bytes(table[c] for c in token) if all(c in table for c in token) else token.encode()
-        self.a_size = np.array([len(x) for x in self.a_bytes])
-        self.b_size = np.array([len(x) for x in self.b_bytes])
-
-    def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of A and B of each text; empty where the bytes do not join to the blank and the text."""
-        full = [" " + t if t else "" for t in texts]
-        a = [np.frombuffer(x, "<u4") for x in self.a(full)]
-        b = [np.array(x, np.uint32) for x in self.model.encode([t or "" for t in texts], num_threads=1)]
-        none = np.zeros(0, np.uint32)
-        for k, text in enumerate(full):
-            raw = text.encode()
-            if not raw or b"".join(map(self.a_bytes.__getitem__, a[k].tolist())) != raw or b"".join(map(self.b_bytes.__getitem__, b[k].tolist())) != raw:
-                a[k] = b[k] = none
-        return a, b
+            tokens[number] = bytes(table[c] for c in token) if all(c in table for c in token) else token.encode()
+        self.a_bytes, self.b_bytes = Bytes(tokens), Bytes(pieces)
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and numbers of them for each text, and those of B; none where the bytes do not join to the blank and the text."""
+        some = pc.fill_null(pc.greater(pc.binary_length(column), 0), False)
+        full = pc.if_else(some, pc.binary_join_element_wise(pa.scalar("", column.type), column, " "), pa.scalar("", column.type))
+        data, bounds = text_bytes(full)
+        a, n_a = self.a.ids(full)
+        listed = self.model.encode([t or "" for t in column.to_pylist()], num_threads=1)
+        n_b = np.fromiter(map(len, listed), np.int64, len(listed))
+        b = np.fromiter(chain.from_iterable(listed), np.int64, int(n_b.sum()))
+        bad = self.a_bytes.differ(a, n_a, data, bounds) | self.b_bytes.differ(b, n_b, data, bounds)
+        if bad.any():
+            a, b = a[np.repeat(~bad, n_a)], b[np.repeat(~bad, n_b)]
+            n_a, n_b = np.where(bad, 0, n_a), np.where(bad, 0, n_b)
+        return a.astype(np.int64), n_a, b, n_b
 
 
 def pair(a: str, b: str) -> Pair:
@@ -168,20 +196,19 @@ class Aligned:
     link_b: np.ndarray
 
     @classmethod
-    def of(cls, tokens: Pair, a: list[np.ndarray], b: list[np.ndarray]) -> Aligned:
-        ids_a, ids_b = np.concatenate([*a, np.zeros(0, np.uint32)]).astype(np.int64), np.concatenate([*b, np.zeros(0, np.uint32)]).astype(np.int64)
-        stop_a, stop_b = np.cumsum(tokens.a_size[ids_a]), np.cumsum(tokens.b_size[ids_b])
-        start_a, start_b = stop_a - tokens.a_size[ids_a], stop_b - tokens.b_size[ids_b]
+    def of(cls, tokens: Pair, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> Aligned:
+        size_a, size_b = tokens.a_bytes.size[a], tokens.b_bytes.size[b]
+        stop_a, stop_b = np.cumsum(size_a), np.cumsum(size_b)
         total = int(stop_a[-1]) if len(stop_a) else 0
         # documents end both tokens, so no token, group or link reaches into another one
         both = np.intersect1d(stop_a, stop_b, assume_unique=True)
-        by_byte = CSR.of_ranges(start_b, stop_b, total).transposed()
+        by_byte = CSR.of_ranges(stop_b - size_b, stop_b, total).transposed()
         rows, columns = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for row, column, _ in CSR.of_ranges(start_a, stop_a, total).product(by_byte):
+        for row, column, _ in CSR.of_ranges(stop_a - size_a, stop_a, total).product(by_byte):
             rows.append(row)
             columns.append(column)
-        size = lambda x: np.repeat(np.arange(len(x)), [len(y) for y in x])
-        return cls(ids_a, ids_b, size(a), size(b), np.searchsorted(both, stop_a), np.searchsorted(both, stop_b), len(both), np.concatenate(rows), np.concatenate(columns))
+        doc = np.arange(len(n_a))
+        return cls(a, b, np.repeat(doc, n_a), np.repeat(doc, n_b), np.searchsorted(both, stop_a), np.searchsorted(both, stop_b), len(both), np.concatenate(rows), np.concatenate(columns))
 
     def shared(self) -> np.ndarray:
         """How many B tokens share each A token's group: the row sizes of the group product."""
@@ -233,11 +260,10 @@ def links(docs: DataFrame, a: str, b: str) -> DataFrame:
 
     def run(batches):
         task, number = TaskContext.get().partitionId(), 0
-        for part in slices(batches):
+        for part in slices(batches, max_bytes=SLICE):
             n = part.num_rows
             tokens = pair(a, b)
-            all_a, all_b = tokens.encode(part.column("text").to_pylist())
-            got = Aligned.of(tokens, all_a, all_b)
+            got = Aligned.of(tokens, *tokens.encode(part.column("text")))
             doc = got.a_doc[got.link_a]
             pairs, at = np.unique(got.a[got.link_a] << SHIFT | got.b[got.link_b], return_inverse=True)
             once = np.unique(doc * (len(pairs) + 1) + at) % (len(pairs) + 1)

@@ -7,6 +7,7 @@ import re
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -38,18 +39,36 @@ def texts(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     return df.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
+_open: list[list[str]] = []
+
+
+def settle(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage at a place every executor reaches, so a lost executor
-    costs a reread and not a recomputation.
+    costs a reread and not a recomputation.  Inside ``temporary`` the table
+    lives as long as that block, unless ``keep``.
     """
     spark = df.sparkSession
     path = shared_path(spark, "llm", name)
     df.write.parquet(path)
+    if _open and not keep:
+        _open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables settled inside are removed at the end; results must be settled with ``keep``."""
+    paths: list[str] = []
+    _open.append(paths)
+    try:
+        yield
+    finally:
+        _open.pop()
+        discard(spark, *paths)
+
+
 def scratch(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """As ``settle``, with the folder, for a table that ``discard`` removes when it has been used."""
     spark = df.sparkSession

@@ -26,6 +26,12 @@ _TOKEN = re.compile(
 # a quote that is never closed ends with its tag: the second form takes such tags
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 _BLANKS = re.compile(r"\s+")
+#: Unread elements that hold text and no markup; what may hold blocks inside a drawing or formula.
+_PLAIN = frozenset("script style textarea title xmp iframe noframes".split())
+_EMBEDS = frozenset("foreignobject desc annotation-xml annotation".split())
+_TAGS = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_DIGITS = re.compile(r"[0-9]+")
+_MARK = re.compile(r'\bdata-y="([01])"')
 _RAW_END = {name: re.compile(rf"</{name}\b", re.I) for name in RAW}
 
 #: Kinds of elements, and of words in class, id and role, that the statistics tell apart (by part of a word).
@@ -69,18 +75,48 @@ def word_groups(attributes: str) -> tuple[int, ...]:
     return groups
 
 
+def _raw_end(html: str, name: str, at: int, around: set[str]) -> int:
+    """Where reading goes on after the start tag of an unread element that ends at ``at``.
+
+    Elements of plain text run to their end tag, or to the end of the page.
+    The others hold markup: without an end tag, or where what is around them
+    ends first (or a block begins, in a drawing or formula), the start tag
+    stands alone and nothing is left out.
+    """
+    end = _RAW_END[name].search(html, at)
+    close = html.find(">", end.end()) if end else -1
+    if name in _PLAIN:
+        return close + 1 if close >= 0 else len(html)
+    if close < 0:
+        return at
+    opened: dict[str, int] = {}
+    embeds = False
+    for ending, tag in _TAGS.findall(html, at, end.start()):
+        tag = tag.lower()
+        embeds |= tag in _EMBEDS
+        if ending and tag in around and not opened.get(tag):
+            return at
+        if name in ("svg", "math") and not embeds and not ending and tag in BLOCK:
+            return at
+        opened[tag] = opened.get(tag, 0) + (-1 if ending else 1)
+    return close + 1
+
+
 class Page:
     """Nodes in page order: elements that start blocks, and the blocks of text themselves.
 
     ``parent``, ``depth``, ``kind``, ``groups`` for each node; ``text`` of
-    blocks (None for elements), ``linked`` and ``label`` (the value of the
-    nearest ``data-y`` at or above, for training pages).
+    blocks (None for elements), ``linked`` and ``label`` (0, but for training
+    pages).
     """
 
     def __init__(self, html: str | None):
         self.parent, self.depth, self.kind, self.groups, self.text, self.linked, self.label = [], [], [], [], [], [], []
         self._read(html or "")
 
+    def _label(self, attributes: str, above: float) -> float:
+        return above
+
     def _add(self, parent: int, kind: int, groups: tuple[int, ...], text: str | None, linked: int, label: float) -> int:
         self.parent.append(parent)
         self.depth.append(self.depth[parent] + 1 if parent >= 0 else 0)
@@ -143,9 +179,7 @@ class Page:
             attributes = found[3] or found[6] or ""
             if name in RAW:
                 if not attributes.rstrip().endswith("/"):
-                    end = _RAW_END[name].search(html, at)
-                    close = html.find(">", end.end()) if end else -1
-                    at = close + 1 if close >= 0 else size
+                    at = _raw_end(html, name, at, {n for n, _, own in stack if own})
                 run.append(" ")
                 continue
             if name in VOID:
@@ -172,10 +206,7 @@ class Page:
                         elif stack[place][0] in stops:
                             break
                 flush()
-                label = self.label[node]
-                if "data-y" in attributes:
-                    label = float(attributes.partition('data-y="')[2].partition('"')[0])
-                node = self._add(node, _KIND.get(name, OTHER_KIND), word_groups(attributes), None, 0, label)
+                node = self._add(node, _KIND.get(name, OTHER_KIND), word_groups(attributes), None, 0, self._label(attributes, self.label[node]))
                 stack.append((name, node, True))
             else:
                 links += name == "a"
@@ -184,6 +215,14 @@ class Page:
         flush()
 
 
+class MarkedPage(Page):
+    """A page composed for training: ``data-y`` is the label of what it marks. Never a page under extraction."""
+
+    def _label(self, attributes: str, above: float) -> float:
+        mark = _MARK.search(attributes)
+        return float(mark[1]) if mark else above
+
+
 GROUPS, KIND_COUNT = len(WORDS), len(KINDS)
 #: Kinds whose presence above a node is told.
 _ABOVE = (0, 1, 6, 7, 8, 9, 10, 11, 12)
@@ -201,7 +240,7 @@ def node_arrays(pages: list[Page]) -> dict[str, np.ndarray]:
     texts = [x for p in pages for x in p.text]
     out["length"] = np.array([len(t) if t else 0 for t in texts], float)
     out["stops"] = np.array([t.count(". ") + t.count(",") + t.count(".") if t else 0 for t in texts], float)
-    out["digits"] = np.array([sum(map(str.isdigit, t[:200])) / min(len(t), 200) if t else 0 for t in texts], float)
+    out["digits"] = np.array([sum(map(len, _DIGITS.findall(t))) / len(t) if t else 0 for t in texts], float)
     groups = np.zeros((len(parent), GROUPS), bool)
     at = 0
     for p in pages:
@@ -229,7 +268,9 @@ def features(nodes: dict[str, np.ndarray]) -> np.ndarray:
     """Statistics of each node: its subtree, its place on the page, its siblings, its own and its ancestors' words."""
     n, parent, page = len(nodes["parent"]), nodes["parent"], nodes["page"]
     block = nodes["kind"] == BLOCK_KIND
-    up = np.maximum(parent, 0)
+    # a root is its own parent, and the one sibling of a group of its own: pages do not meet
+    up = np.where(parent >= 0, parent, np.arange(n))
+    family = np.where(parent >= 0, parent, n + page)
     length = sums_below(nodes, nodes["length"])
     elements = sums_below(nodes, ~block)
     blocks = sums_below(nodes, block)
@@ -246,8 +287,8 @@ def features(nodes: dict[str, np.ndarray]) -> np.ndarray:
     ahead = np.cumsum(nodes["length"]) - nodes["length"]
     ahead -= ahead[roots][page]
     # siblings in page order
-    order = np.lexsort((np.arange(n), up))
-    same = np.concatenate(([False], up[order][1:] == up[order][:-1])) & (parent[order] >= 0)
+    order = np.lexsort((np.arange(n), family))
+    same = np.concatenate(([False], family[order][1:] == family[order][:-1]))
     number = np.zeros(n)
     start = np.flatnonzero(~same)
     count = np.diff(np.concatenate((start, [n])))
@@ -261,7 +302,7 @@ def features(nodes: dict[str, np.ndarray]) -> np.ndarray:
     before[order[pair]] = about[order[pair - 1]]
     after[order[pair - 1]] = about[order[pair]]
     alike = np.zeros(n)
-    like = np.unique(np.column_stack((up, nodes["kind"])), axis=0, return_inverse=True, return_counts=True)
+    like = np.unique(np.column_stack((family, nodes["kind"])), axis=0, return_inverse=True, return_counts=True)
     alike = like[2][like[1].ravel()] / np.maximum(siblings, 1)
     # what stands above, passed down level by level
     above = np.concatenate((nodes["groups"], np.column_stack([nodes["kind"] == k for k in _ABOVE])), axis=1)

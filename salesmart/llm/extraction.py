@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from salesmart.llm import boosting
 from salesmart.llm.common import by_slice
-from salesmart.llm.dom import BLOCK_KIND, Page, features, node_arrays, sums_below
+from salesmart.llm.dom import BLOCK_KIND, MarkedPage, Page, features, node_arrays, sums_below
 
 #: Pages to learn from, bytes of one of them at most, composed pages made of each, seed.
 SAMPLE, SAMPLE_BYTES, COMPOSED, SEED = 250, 60_000, 3, 20253
@@ -161,7 +161,7 @@ def learn(sample: list[str]) -> boosting.Trees:
         words = [f"{a}{b}{c}" for a in "bdfklmn" for b in "aeiou" for c in ("", "r", "st", "nd")]
         paragraphs = [[" ".join(rng.choices(words, k=rng.randint(5, 80))).capitalize() + "." for _ in range(rng.randint(2, 12))] for _ in range(60)]
     others = [t for own in paragraphs for t in own]
-    pages += [Page(compose(rng, own, others)) for own in paragraphs for _ in range(COMPOSED)]
+    pages += [MarkedPage(compose(rng, own, others)) for own in paragraphs for _ in range(COMPOSED)]
     nodes = node_arrays(pages)
     block = nodes["kind"] == BLOCK_KIND
     length = sums_below(nodes, nodes["length"])

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from salesmart.llm.common import Words, by_slice, gram_hashes, id_filter, mix, release, settle, slices, split_by_ids, texts
+from salesmart.llm.common import Words, by_slice, gram_hashes, id_filter, mix, release, settle, slices, split_by_ids, temporary, texts
 
 #: Words of a shingle; similarity as a ratio of integers.
 SHINGLE, ABOVE, BELOW = 4, 80, 100
@@ -350,7 +350,9 @@ def grouped(docs: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document."""
-    return grouped(docs).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    with temporary(docs.sparkSession):
+        found = grouped(docs).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        return settle(found, "neardup", keep=True)
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
@@ -361,7 +363,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     go, or whose id is repeated, are moved.
     """
     stays = F.col("print").isNull() | (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("print") == F.col("first")))
-    found = settle(grouped(docs).select("doc_id", "print", stays.alias("kept")), "neardup-kept")
+    with temporary(docs.sparkSession):
+        found = settle(grouped(docs).select("doc_id", "print", stays.alias("kept")), "neardup-kept", keep=True)
     special = found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("NOT kept OR n > 1")
     clear, near = split_by_ids(docs, special.select("doc_id"))
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import release, settle, slices, texts
-from salesmart.llm.tokens import CACHED, encoder, joined
+from salesmart.llm.tokens import CACHED, encoder, with_end
 
 #: What one more piece may cost, in ids of padding.
 PIECE_COST = 12
@@ -59,12 +59,12 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, cached:
     cuts = cut_table(capacity)
 
     def run(batches):
-        encode, end, worker = encoder(tokenizer, cached), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
+        encode, worker = encoder(tokenizer, cached), TaskContext.get().partitionId()
         numbered: dict[int, int] = {}
 
         def cut(part: pa.RecordBatch) -> pa.RecordBatch:
             rows, start, length, number, total = [], [], [], [], []
-            all_ids, counts = joined(encode(part.column("text").to_pylist()), end)
+            all_ids, counts = with_end(*encode.ids(part.column("text")), end_id)
             for row, n in enumerate(counts.tolist()):
                 at = 0
                 for size in (*(capacity,) * (n // capacity), *cuts[n % capacity]):
@@ -81,7 +81,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, cached:
             workers = pa.array(np.full(len(rows), worker), pa.int64())
             # the pieces follow each other as the ids do
             ends = np.concatenate(([0], np.cumsum(length))).astype(np.int64)
-            wide = memoryview(all_ids.tobytes())
+            wide = memoryview(all_ids.astype("<u4").tobytes())
             crc = pa.array([zlib.crc32(wide[4 * a : 4 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.int64())
             raw = pa.py_buffer(all_ids.astype(f"<u{width}").tobytes())
             ids = pa.Array.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer((width * ends).tobytes()), raw]).cast(pa.binary())

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import Words, by_slice, gram_hashes, inside, settle, texts
+from salesmart.llm.common import Words, by_slice, gram_hashes, inside, settle, split_by_ids, temporary, texts
 
 #: Byte classes of the statistics, in order: lower-case, upper-case, digit,
 #: white space but \n, \n, full stop or comma, other ASCII punctuation, bar,
@@ -117,6 +117,10 @@ def features(docs: DataFrame) -> DataFrame:
     return by_slice(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, f array<float>")
 
 
+#: Rows of a block that is scored at once.
+ROWS = 64
+
+
 @dataclass
 class Model:
     mean: np.ndarray
@@ -136,7 +140,9 @@ class Model:
         return self.random_features(f) @ self.weights
 
     def score(self, f: np.ndarray) -> np.ndarray:
-        return np.interp(self.raw(f), self.knots, self.levels)
+        # whole blocks of rows: a text's score does not depend on how many share its batch
+        whole = np.vstack([f, np.zeros((-len(f) % ROWS, f.shape[1]), f.dtype)])
+        return np.interp(self.raw(whole)[: len(f)], self.knots, self.levels)
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
@@ -229,11 +235,15 @@ def held_out(modulus: int, remainder: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder, F.lit(True))
 
 
+def _marked(labels: DataFrame, label: str) -> DataFrame:
+    return labels.select("doc_id", F.col(label).cast("double").alias("label")).where(~held_out(5, 0))
+
+
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality") -> tuple[DataFrame, Model | None]:
     """All documents' statistics, and the model of the labels of documents that are not held out."""
     feats = settle(features(docs).withColumn("held_out", held_out(5, 0)), "quality-features")
-    marked = labels.select("doc_id", F.col(label).cast("double").alias("label")).where(~held_out(5, 0))
-    return feats, fit(feats, marked)
+    with temporary(docs.sparkSession):
+        return feats, fit(feats, _marked(labels, label))
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
@@ -243,7 +253,11 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFra
 
 def keep(docs: DataFrame, labels: DataFrame, least: float = 0.3, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that score ``least`` or more, all columns unchanged."""
-    _, model = learn(docs, labels)
+    marked = _marked(labels, "quality")
+    with temporary(docs.sparkSession):
+        # statistics of documents that have a label, and of few others
+        _, labelled = split_by_ids(texts(docs), marked.where("label IS NOT NULL").select("doc_id").distinct())
+        model = fit(features(labelled), marked)
     if model is None:
         return docs if least <= 0.5 else docs.limit(0)
 

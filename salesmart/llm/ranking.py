@@ -41,7 +41,9 @@ from salesmart.llm.common import Words, by_slice, discard, mix, release, scratch
 PARTS = np.ones(256, bool)
 PARTS[48:58] = PARTS[65:91] = PARTS[97:123] = PARTS[128:] = False
 #: Tokens of a block of the index, bytes of items in one search, scores held at once, and strata visited first.
-BLOCK_TOKENS, ITEM_BYTES, SCORES, FIRST = 1 << 20, 4 << 20, 1 << 22, 6
+BLOCK_TOKENS, ITEM_BYTES, SCORES, FIRST = 1 << 18, 4 << 20, 1 << 22, 6
+#: Blocks of tokens for each partition of the index.
+PER_TASK = 8
 
 INDEX = "m long, part int, docs array<long>, terms binary, df binary, top binary, runs binary, tfs binary, ends binary, postings binary"
 
@@ -153,7 +155,9 @@ def _block(m: int, part: int, docs: list[pa.Array], n: list[bytes], terms: list[
 
 def build(docs: DataFrame, stats: Statistics) -> DataFrame:
     """The index of ``docs`` (columns INDEX)."""
-    dealt = _forward(docs, stats).repartition("m", "part").sortWithinPartitions("m", "part")
+    # as many partitions as the tokens ask for, whatever the session's number
+    n = max(docs.sparkSession.sparkContext.defaultParallelism, -(-stats.n_terms // (PER_TASK * BLOCK_TOKENS)))
+    dealt = _forward(docs, stats).repartition(n, "m", "part").sortWithinPartitions("m", "part")
 
     def rows(blocks: Iterator[list]):
         for block in blocks:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from salesmart.config import shared_path
 from salesmart.llm.common import mix, settle, slices, texts
-from salesmart.llm.tokens import encoder, joined
+from salesmart.llm.tokens import encoder, with_end
 
 MAGIC = b"TOKSHRD1"
 #: Bits of a level for each key that is left, and levels at most (keys beyond them are listed).
@@ -167,11 +167,11 @@ def write(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 2, width: int
         context = TaskContext.get()
         name = f"shard-{context.partitionId():07d}"
         mine = f"{root}/.{name}-{context.taskAttemptId()}-{uuid.uuid4().hex}"
-        encode, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        encode = encoder(tokenizer)
         lengths, keys, repeats = [], [], []
         with files.open_output_stream(f"{mine}.ids") as payload:
             for part in slices(batches):
-                ids, counts = joined(encode(part.column("text").to_pylist()), end)
+                ids, counts = with_end(*encode.ids(part.column("text")), end_id)
                 payload.write(ids.astype(f"<u{width}").tobytes())
                 lengths += counts.tolist()
                 for key in part.column("doc_id").to_pylist():

@@ -2,11 +2,12 @@ import random
 import re
 from html import unescape
 
+import numpy as np
 import numpy as np
 import pytest
 
 from salesmart.llm import boosting, extraction
-from salesmart.llm.dom import Page, features, node_arrays, sums_below
+from salesmart.llm.dom import MarkedPage, Page, features, node_arrays, sums_below
 from salesmart.llm.queries import QUERIES
 
 
@@ -55,7 +56,7 @@ def test_other_names_and_parts(model, sample):
     extra = missed = total = 0
     for own in texts:
         html = extraction.compose(rng, own, others)
-        page = Page(html)
+        page = MarkedPage(html)
         want = [t for t, y in zip(page.text, page.label) if t and y > 0.5]
         got = read(model, [re.sub(' data-y="."', "", html)])[0].split("\n")
         extra += sum(len(t) for t in got if t not in want)
@@ -125,3 +126,39 @@ def test_odd_rows(spark):
     found = {r["url"]: r["text"] for r in got.collect()}
     assert found["u"] == "" and found[None] == "" and found["v"] == "Some words of a text."
     assert extraction.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("tag", ['div data-year="2020"', 'section data-youtube-id="abc"', 'p data-y="12px"', "div data-y='1'", 'div data-y="1"'])
+def test_attributes_of_real_pages_are_no_labels(model, tag):
+    html = f"<html><body><{tag}>x</{tag.split()[0]}></body></html>"
+    page = Page(html)
+    assert [t for t in page.text if t] == ["x"] and set(page.label) == {0.0}
+    read(model, [html])
+
+
+@pytest.mark.parametrize("html, blocks", [
+    ("<article><p>a</p><canvas><p>b</p></article><p>c</p>", ["a", "b", "c"]),
+    ("<article><p>a</p><svg><path d='M0'/><p>b</p></article><p>c</p>", ["a", "b", "c"]),
+    ("<div><p>a</p><svg><path/></div><p>c</p><svg></svg>", ["a", "c"]),
+    ("<p>a</p><noscript><p>b</p>", ["a", "b"]), ("<p>a</p><object><p>b", ["a", "b"]), ("<p>a</p><math>x<p>b</p>", ["a", "x", "b"]),
+    ("<p>a</p><svg><foreignObject><div>in</div></foreignObject></svg><p>b</p>", ["a", "b"]), ("<p>a</p><canvas>no</canvas><noscript><p>no</p></noscript><p>b</p>", ["a", "b"]),
+    ("<p>a</p><script>var x = '<p>b</p>'", ["a"]), ("<p>a</p><textarea><p>b</p>", ["a"]),
+])
+def test_elements_that_are_never_closed(html, blocks):
+    assert [t for t in Page(html).text if t] == blocks
+
+
+def test_a_page_does_not_depend_on_its_neighbours(sample):
+    """Statistics of a page alone, first and last in a slice."""
+    pages = [Page(h) for h in [*sample[:6], "<p>bare</p><p>blocks</p>", ""]]
+    together = features(node_arrays(pages))
+    at = 0
+    for page in pages:
+        alone = features(node_arrays([page]))
+        assert np.array_equal(alone, together[at : at + len(page.text)])
+        at += len(page.text)
+
+
+def test_digits_of_a_long_block_count_whole():
+    a, b = (node_arrays([Page(f"<p>{'word ' * 100}{tail}</p>")]) for tail in ("7 " * 2000, "w " * 2000))
+    assert a["digits"].max() > 0.4 and b["digits"].max() == 0

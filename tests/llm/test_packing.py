@@ -1,10 +1,11 @@
+import random
 import zlib
 
 import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from salesmart.llm import packing
+from salesmart.llm import packing, tokens
 from salesmart.llm.queries import QUERIES, tokenizer
 from salesmart.llm.tokens import Encoder
 
@@ -80,3 +81,21 @@ def test_leftovers_fit():
 def test_encoder_matches_whole_texts(plain):
     texts = ["", " ", "a  b", "a\n\n b", "tab\t\tx ", "it's \x1c\x1d x\x85y\xa0 z", "日本　語  12 345", "<|endoftext|> <|endoftext|>", "  lead", "trail  \n ", "a  b ​ c", "\x00 nul", "x" * 500 + " " * 300 + "y"]
     assert [np.frombuffer(b, "<u4").tolist() for b in Encoder(tokenizer())(texts)] == [plain(t) for t in texts]
+
+
+@pytest.mark.parametrize("cached", [0, 50, 10**6])
+def test_encoder_matches_random_texts(plain, cached):
+    """Whatever is known already, and with every kind of white space, punctuation and special token."""
+    rng, encode = random.Random(cached), Encoder(tokenizer(), cached)
+    parts = [*"aZ\u00e9\u65e5.,;:!?'|<>()\x1c\x85\xa0\u2003\u3000 \t\n\r0", "<|endoftext|>", " the", "'s", "it's", "  ", "\u2003 ", ".. ", "a,b", "word.\n", "\U0001f600", "\u201d "]
+    for _ in range(20):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(60)] + [None]
+        assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == [plain(t) for t in texts]
+
+
+def test_chunks_of_one_hash(plain, monkeypatch):
+    """Chunks are told apart by their bytes: here nearly all hashes are equal."""
+    monkeypatch.setattr(tokens, "word_hashes", lambda data, start, end: (end - start).astype(np.uint64) % np.uint64(2))
+    encode = Encoder(tokenizer())
+    for texts in (["a bc def, gh a bc", "zz a"], ["bc a def xyz", "q", ""], ["gh gh bc"]):
+        assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == [plain(t) for t in texts]
