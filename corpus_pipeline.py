@@ -14,7 +14,6 @@ stage scores; rows of one id, or without one, go only as copies of each other.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from salesmart.llm import decontam, neardup, packing, quality, secrets
 from salesmart.llm.common import settle, small_batches, table
@@ -48,7 +47,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     # the executors still hold what the earlier stages needed: remember fewer chunks
     pieces = packing.pack(docs, tokenizer(), capacity=2048, end_id=1, cached=150_000)
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "ids")
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")
 
 
 STAGES = [
