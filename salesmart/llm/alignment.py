@@ -42,7 +42,7 @@ SHIFT = 32
 #: Bytes of text that are aligned at once.
 SLICE = 1 << 20
 #: Chunks of text whose ids a worker remembers.
-CACHED = 300_000
+CACHED = 600_000
 #: Entries that a product expands at once.
 EXPANDED = 1 << 22
 

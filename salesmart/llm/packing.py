@@ -87,7 +87,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, cached:
             ids = pa.Array.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer((width * ends).tobytes()), raw]).cast(pa.binary())
             return pa.RecordBatch.from_arrays([key, longs[0], longs[1], longs[2], workers, longs[3], crc, ids], ["doc_id", "start", "length", "doc_tokens", "worker", "number", "ids_crc32", "ids"])
 
-        for part in slices(batches):
+        for part in slices(batches, max_bytes=4 << 20):
             yield cut(part)
         release(keep=True)
 

@@ -170,7 +170,7 @@ def write(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 2, width: int
         encode = encoder(tokenizer)
         lengths, keys, repeats = [], [], []
         with files.open_output_stream(f"{mine}.ids") as payload:
-            for part in slices(batches):
+            for part in slices(batches, max_bytes=4 << 20):
                 ids, counts = with_end(*encode.ids(part.column("text")), end_id)
                 payload.write(ids.astype(f"<u{width}").tobytes())
                 lengths += counts.tolist()

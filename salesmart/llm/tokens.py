@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from salesmart.llm.common import word_hashes, worker_store
 
 #: Known chunks at most, the longest chunk that is kept (bytes), and characters encoded in one call.
-CACHED, LONGEST, AT_ONCE = 500_000, 64, 200_000
+CACHED, LONGEST, AT_ONCE = 1_000_000, 64, 2_000
 #: ASCII white space, letters, and the punctuation that is cut off after a letter.
 _BLANK, _LETTER, _POINT = (np.zeros(256, bool) for _ in range(3))
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -140,9 +140,9 @@ class Encoder:
                 alone.append(k)
         if held:
             runs.append(held)
-        for run in runs:
-            text = b"".join(chunks[k] for k in run)
-            ids = np.array(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, np.uint32)
+        joined = [b"".join(chunks[k] for k in run).decode() for run in runs]
+        for run, got in zip(runs, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(got.ids, np.uint32)
             ends = np.cumsum([len(chunks[k]) for k in run])
             cuts = np.searchsorted(np.cumsum(self.size[ids]), ends, "left") + 1
             begin = np.concatenate(([0], cuts[:-1]))
