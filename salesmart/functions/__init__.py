@@ -1,9 +1,11 @@
 from salesmart.functions.columns import (  # noqa: F401
     INCENTIVE_RATE,
     fold_json,
-    fold_values, quoted,
+    fold_values,
+    fold_variant,
     full_name,
     incentive,
     money,
     month_of,
+    quoted,
 )

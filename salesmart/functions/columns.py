@@ -55,6 +55,18 @@ def fold_values(names: list[str]) -> Column:
     return F.concat_ws(",", *[F.col(quoted(n)).cast("string") for n in sorted(names)])
 
 
+def variant_of(value: Column) -> Column:
+    """A text as a VARIANT: what it reads as in JSON (numbers, booleans), else the string."""
+    return F.coalesce(F.try_parse_json(value), value.cast("variant"))
+
+
+def fold_variant(names: list[str]) -> Column:
+    """The columns ``names`` as one VARIANT object, values with the types they read as; NULL without any name."""
+    if not names:
+        return F.lit(None).cast("variant")
+    return F.to_variant_object(F.struct(*[variant_of(F.col(quoted(n)).cast("string")).alias(n) for n in sorted(names)]))
+
+
 def fold_json(names: list[str]) -> Column:
     """Lossless twin of :func:`fold_values`: ``{"name": value, ...}``."""
     if not names:

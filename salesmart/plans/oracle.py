@@ -39,7 +39,20 @@ SELECT ct.customer_id, ct.first_name, ct.last_name, ct.address, ct.pincode, ct.p
 FROM sales f JOIN customer_dim ct ON f.customer_id = ct.customer_id
 JOIN store_dim sd ON f.store_id = sd.id JOIN sales_team_dim st ON f.sales_person_id = st.id""",
 }
-_NEEDS = {"enriched": ["sales", "customer_dim", "store_dim", "sales_team_dim"]}
+_VIEWS["enriched_modes"] = """
+SELECT f.customer_id, f.store_id, f.sales_person_id, substr(CAST(f.sales_date AS VARCHAR(10)),1,7) AS sales_month, f.total_cost, f.payment_mode
+FROM sales f JOIN customer_dim ct ON f.customer_id = ct.customer_id
+JOIN store_dim sd ON f.store_id = sd.id JOIN sales_team_dim st ON f.sales_person_id = st.id"""
+
+
+def _mixed(row: str, seed: int, stream: int) -> str:
+    """The generator's number of a row: fixed modulus and multipliers."""
+    a = f"(({row} % 2147483647 * 48271 + {seed * 69621 + stream * 40692 + 1}) % 2147483647)"
+    b = f"(({a} * 16807 + {stream * 69621 + 12345}) % 2147483647)"
+    return f"({b} * 69621 + {a}) % 2147483647"
+
+
+_NEEDS = {"enriched": ["sales", "customer_dim", "store_dim", "sales_team_dim"], "enriched_modes": ["sales", "customer_dim", "store_dim", "sales_team_dim"]}
 
 _SELLER_MONTHLY = """SELECT store_id, sales_person_id, concat(sales_person_first_name,' ',sales_person_last_name) AS full_name,
  sales_month, CAST(sum(total_cost) AS DECIMAL(18,2)) AS total_sales FROM enriched
@@ -149,6 +162,64 @@ _QUERIES = {
         ["enriched"],
         """SELECT sales_month, store_id, count(*) AS n, CAST(sum(total_cost) AS DECIMAL(18,2)) AS total_cost
  FROM enriched GROUP BY sales_month, store_id""",
+    ),
+    "job_snapshots": (
+        ["enriched_modes"],
+        """SELECT * FROM (WITH c AS (SELECT k AS snapshot, customer_id, sales_month, sum(total_cost) AS total FROM enriched_modes, (VALUES (1), (2), (3)) t(k)
+  WHERE k >= CASE payment_mode WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END GROUP BY k, customer_id, sales_month),
+ s AS (SELECT k AS snapshot, store_id, sales_person_id, sales_month, sum(total_cost) AS total FROM enriched_modes, (VALUES (1), (2), (3)) t(k)
+  WHERE k >= CASE payment_mode WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END GROUP BY k, store_id, sales_person_id, sales_month)
+ SELECT snapshot, 'customer_monthly' AS mart, sales_month, count(*) AS n, CAST(sum(total) AS DECIMAL(18,2)) AS total_sales FROM c GROUP BY snapshot, sales_month
+ UNION ALL SELECT snapshot, 'seller_monthly', sales_month, count(*), CAST(sum(total) AS DECIMAL(18,2)) FROM s GROUP BY snapshot, sales_month) x""",
+    ),
+    "job_monthly_incremental": (
+        ["enriched"],
+        f"""SELECT store_id, sales_person_id, full_name, sales_month, total_sales,
+ CAST(CASE WHEN rnk = 1 THEN round(total_sales * CAST(0.01 AS DECIMAL(4,2)), 2) ELSE 0 END AS DECIMAL(18,2)) AS incentive
+ FROM ({_RANKED}) r""",
+    ),
+    "stream_ledger_latest": (
+        [],
+        """SELECT user_id, event_type AS status, ts AS updated_at FROM (
+ SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) t WHERE rn = 1""",
+    ),
+    "conform_multiline": (
+        ["sales"],
+        """SELECT customer_id, store_id, CASE WHEN quantity % 3 = 0 THEN concat(product_name, chr(10), 'line "two", and', chr(10), chr(10), 'last') ELSE product_name END AS product_name,
+ sales_date, sales_person_id, price, quantity, total_cost, CASE WHEN payment_mode <> 'A' THEN channel END AS additional_column FROM sales""",
+    ),
+    "inferred_types": (
+        [],
+        """WITH t(column_name, plain, large, odd, widened) AS (VALUES ('customer_id', 'int', 'bigint', 'int', 'bigint'), ('store_id', 'int', 'int', 'int', 'int'),
+  ('product_name', 'string', 'string', 'string', 'string'), ('sales_date', 'date', 'date', 'timestamp', 'timestamp'), ('sales_person_id', 'int', 'int', 'int', 'int'),
+  ('price', 'double', 'int', 'double', 'double'), ('quantity', 'int', 'int', 'string', 'string'), ('total_cost', 'double', 'double', 'void', 'double')),
+ f AS (SELECT 'plain' AS folder, column_name, plain AS type, widened FROM t UNION ALL SELECT 'large', column_name, large, widened FROM t UNION ALL SELECT 'odd', column_name, odd, widened FROM t)
+ SELECT folder, column_name AS "column", type, widened, type <> widened AND type <> 'void' AS drift FROM f, (SELECT count(*) AS n FROM lineitem) l WHERE n > 0""",
+    ),
+    "ledger_anti_join": (
+        [],
+        """SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events e WHERE event_type = 'signup'
+ AND NOT EXISTS (SELECT 1 FROM events p WHERE p.event_type = 'purchase' AND p.user_id = e.user_id AND CAST(p.ts AS DATE) = CAST(e.ts AS DATE))""",
+    ),
+    "fold_variant": (
+        ["sales"],
+        """SELECT name, found_type, count(*) AS n, count(DISTINCT value) AS n_distinct, CAST(sum(TRY_CAST(value AS BIGINT)) AS BIGINT) AS total FROM (
+ SELECT 'channel' AS name, 'STRING' AS found_type, channel AS value FROM sales UNION ALL SELECT 'payment_mode', 'STRING', payment_mode FROM sales
+ UNION ALL SELECT 'discount', 'BIGINT', CAST(quantity % 7 AS VARCHAR) FROM sales
+ UNION ALL SELECT 'mixed', 'VARIANT', CASE WHEN quantity % 2 = 0 THEN CAST(quantity AS VARCHAR) ELSE concat('q', quantity) END FROM sales) x GROUP BY name, found_type""",
+    ),
+    "synth_sales": (
+        [],
+        f"""WITH i AS (SELECT unnest(range((SELECT count(*) FROM lineitem))) AS row_id),
+ m AS (SELECT row_id, {", ".join(f"({_mixed('row_id', 20, k)}) AS x{k}" for k in range(6))} FROM i),
+ c AS (SELECT c_custkey AS k, row_number() OVER (ORDER BY c_custkey) - 1 AS place FROM customer),
+ s AS (SELECT s_suppkey AS k, s_nationkey AS store_id, row_number() OVER (ORDER BY s_suppkey) - 1 AS place FROM supplier),
+ p AS (SELECT p_name, CAST(p_retailprice AS DECIMAL(18,2)) AS price, row_number() OVER (ORDER BY p_partkey) - 1 AS place FROM part)
+ SELECT row_id, c.k AS customer_id, s.store_id, p_name AS product_name, CAST(DATE '2023-01-01' + CAST(x4 % 365 AS INT) AS DATE) AS sales_date, s.k AS sales_person_id,
+  price, CAST(x5 % 10 + 1 AS INT) AS quantity, CAST(price * CAST(x5 % 10 + 1 AS INT) AS DECIMAL(18,2)) AS total_cost
+ FROM m JOIN c ON c.place = CASE WHEN x0 % 1000 < 125 THEN 0 ELSE x1 % (SELECT count(*) FROM customer) END
+ JOIN s ON s.place = CASE WHEN x0 % 1000 < 125 THEN 0 ELSE x2 % (SELECT count(*) FROM supplier) END
+ JOIN p ON p.place = x3 % (SELECT count(*) FROM part)""",
     ),
     "ledger_latest": (
         [],

@@ -8,22 +8,25 @@ always into a fresh folder under ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart import config
-from salesmart.operators import marts
+from salesmart import config, counter, functions
+from salesmart.operators import infer, ledger_base, marts
 from salesmart.operators.conform import conform, good_rows
 from salesmart.operators.enrich import enrich, unmatched
 from salesmart.operators.ledger import already_done, latest_state
 from salesmart.plans import job
-from salesmart.plans.ingest import NoValidFile, ingest
+from salesmart.plans.ingest import NoValidFile, check_files, ingest
 from salesmart.schemas import MANDATORY_COLUMNS, MONEY, SELLER_MART_DETAIL
 from salesmart.sinks.publish import read_partitioned, write_partitioned
 from salesmart.sources import testdata as td
+from salesmart.sources.files import data_lines, list_drop
+from salesmart.streaming import ledger as ledger_stream
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,43 +206,46 @@ def _job_dims(spark, sf_dir) -> job.Dimensions:
     return job.Dimensions(*td.dimensions(spark, sf_dir))
 
 
-_published: dict[tuple[str, str], str] = {}
+def _put_sales(sales: DataFrame, root: str, folder: str, mode: str) -> None:
+    """The sales of a payment mode as CSV files written in parallel, and those of one quantity as one file ``sales.csv``."""
+    some = sales.where(F.col("payment_mode") == mode).drop("payment_mode")
+    some.where("quantity <> 1").write.option("header", True).csv(f"{root}/{folder}/most")
+    _put_named(some.where("quantity = 1"), f"{root}/{folder}/rest")
+
+
+def _put_named(df: DataFrame, folder: str) -> None:
+    """A small ``df`` as the one file ``sales.csv`` of ``folder``, replacing an earlier one."""
+    jvm = df.sparkSession.sparkContext._jvm
+    aside = config.shared_path(df.sparkSession, "queries", "named")
+    df.coalesce(1).write.option("header", True).csv(aside)
+    path, target = jvm.org.apache.hadoop.fs.Path(aside), jvm.org.apache.hadoop.fs.Path(f"{folder}/sales.csv")
+    fs = path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    for status in fs.listStatus(path):
+        if status.getPath().getName().endswith(".csv"):
+            fs.delete(target, False)
+            fs.rename(status.getPath(), target)
+    fs.delete(path, True)
+
+
+def _job_sales(spark, sf_dir) -> DataFrame:
+    return td.sales(spark, sf_dir).select(*MANDATORY_COLUMNS, "payment_mode")
 
 
 def _two_drops(spark, sf_dir) -> str:
     """The fact as CSV drops through the whole run: a month across both drops,
     a drop offered again, same-named files in two folders, and files set aside
-    (runs that fail are for the tests).  Run once per session: the three
-    queries below read what it published."""
-    known = (spark.sparkContext.applicationId, sf_dir)
-    if known in _published:
-        return _published[known]
+    (runs that fail are for the tests)."""
     root, out = config.shared_path(spark, "queries", "job_drop"), config.shared_path(spark, "queries", "job_out")
-    sales = td.sales(spark, sf_dir).select(*MANDATORY_COLUMNS, "payment_mode")
-    dims = _job_dims(spark, sf_dir)
-
-    def put(mode: str, folder: str) -> None:
-        sales.where(F.col("payment_mode") == mode).drop("payment_mode").coalesce(1).write.option("header", True).csv(f"{root}/{folder}")
-
-    def rename(folder: str) -> None:
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{folder}")
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for status in fs.listStatus(path):
-            if status.getPath().getName().endswith(".csv"):
-                fs.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(f"{root}/{folder}/sales.csv"))
-
-    put("A", "first")
-    rename("first")
+    sales, dims = _job_sales(spark, sf_dir), _job_dims(spark, sf_dir)
+    _put_sales(sales, root, "first", "A")
     td.table(spark, sf_dir, "region").write.option("header", True).csv(f"{root}/region")
     job.run(spark, root, out, dims)
     if _nothing_new(spark, root, out, dims) is not None:
         raise AssertionError("a file was counted twice")
-    put("R", "second")
-    rename("second")
-    put("N", "third")
+    _put_sales(sales, root, "second", "R")
+    _put_sales(sales, root, "third", "N")
     job.run(spark, root, out, dims)
-    _published[known] = out
     return out
 
 
@@ -266,6 +272,123 @@ def job_detail_committed(spark, sf_dir):
     )
 
 
+def job_snapshots(spark, sf_dir):
+    """Two runs that overlap, after a first one: months of both marts as of each snapshot."""
+    root, out = config.shared_path(spark, "queries", "snapshot_drop"), config.shared_path(spark, "queries", "snapshot_out")
+    sales, dims = _job_sales(spark, sf_dir), _job_dims(spark, sf_dir)
+    for folder, mode in (("first", "A"), ("second", "R"), ("third", "N")):
+        _put_sales(sales, root, folder, mode)
+    job.run(spark, f"{root}/first", out, dims)
+    # the third drop is committed while the second one's run is about to
+    job.run(spark, f"{root}/second", out, dims, before_commit=lambda _: job.run(spark, f"{root}/third", out, dims))
+    parts = []
+    for number in (1, 2, 3):
+        for mart, month in (("customer_monthly", "sales_date_month"), ("seller_monthly", "sales_month")):
+            rows = job.read_months(spark, out, mart, number).groupBy(F.col(month).alias("sales_month"))
+            rows = rows.agg(F.count(F.lit(1)).alias("n"), marts.money(F.sum("total_sales")).alias("total_sales"))
+            parts.append(rows.select(F.lit(number).alias("snapshot"), F.lit(mart).alias("mart"), "sales_month", "n", "total_sales"))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
+def job_monthly_incremental(spark, sf_dir):
+    """Months merged from the deltas of three runs, with a file that is delivered wrong and then replaced."""
+    root, out = config.shared_path(spark, "queries", "merge_drop"), config.shared_path(spark, "queries", "merge_out")
+    sales, dims = _job_sales(spark, sf_dir), _job_dims(spark, sf_dir)
+    _put_sales(sales, root, "first", "A")
+    job.run(spark, root, out, dims, replace=True)
+    _put_sales(sales, root, "second", "R")
+    wrong = sales.where("payment_mode = 'N' AND quantity = 1").drop("payment_mode")
+    _put_named(wrong.withColumn("total_cost", F.col("total_cost") * 3).unionByName(wrong), f"{root}/third/rest")
+    job.run(spark, root, out, dims, replace=True)
+    _put_sales(sales, root, "third", "N")
+    job.run(spark, root, out, dims, replace=True)
+    return job.read_months(spark, out, "seller_monthly").select("store_id", "sales_person_id", "full_name", "sales_month", "total_sales", "incentive")
+
+
+def stream_ledger_latest(spark, sf_dir):
+    """The events as a ledger stream in three deliveries, late and repeated ones among them, with a restart after each."""
+    root, out = config.shared_path(spark, "queries", "ledger_stream"), config.shared_path(spark, "queries", "ledger_changes")
+    entries = _events_as_ledger(spark, sf_dir).select(F.col("user_id").alias("key"), "ts", F.col("event_id").alias("seq"), F.col("event_type").alias("status"))
+    for share in ("seq % 3 = 1", "seq % 3 = 0 OR seq % 5 = 0", "seq % 3 = 2 OR seq % 7 = 0"):
+        entries.where(share).write.mode("append").parquet(f"{root}/in")
+        source = lambda own: own.readStream.schema(ledger_stream.ENTRIES).option("maxFilesPerTrigger", 8).parquet(f"{root}/in")
+        query = ledger_stream.start(spark, source, out, f"{root}/checkpoint", ("purchase",))
+        query.awaitTermination()
+    return ledger_stream.latest(spark, out).select(F.col("key").alias("user_id"), "status", F.col("ts").alias("updated_at"))
+
+
+def conform_multiline(spark, sf_dir):
+    """Sales with a quoted line break in the names of a third of the rows, through the ingest."""
+    root = config.shared_path(spark, "queries", "multiline_drop")
+    sales = td.sales(spark, sf_dir)
+    broken = F.concat("product_name", F.lit('\nline "two", and\n\nlast'))
+    named = sales.withColumn("product_name", F.when(F.col("quantity") % 3 == 0, broken).otherwise(F.col("product_name")))
+    opts = {"header": True, "escape": '"'}
+    named.where("payment_mode = 'A'").select(*MANDATORY_COLUMNS).write.options(**opts).csv(f"{root}/plain")
+    named.where("payment_mode <> 'A'").select("channel", *reversed(MANDATORY_COLUMNS)).write.options(**opts).csv(f"{root}/extra")
+    return ingest(spark, root, multiline=True).rows.select(*MANDATORY_COLUMNS, "additional_column")
+
+
+def inferred_types(spark, sf_dir):
+    """Types found in three layouts of the sales, widened over them, and where they drift."""
+    root = config.shared_path(spark, "queries", "typed_drop")
+    sales, opts = td.sales(spark, sf_dir), {"header": True}
+    put = lambda mode, folder, **columns: sales.where(F.col("payment_mode") == mode).select(*MANDATORY_COLUMNS).withColumns(columns).write.options(**opts).csv(f"{root}/{folder}")
+    put("A", "plain")
+    put("R", "large", customer_id=F.col("customer_id") + 3_000_000_000, price=F.floor("price").cast("int"))
+    put(
+        "N", "odd", quantity=F.when(F.col("quantity") % 10 == 1, F.lit("n/a")).otherwise(F.col("quantity").cast("string")),
+        sales_date=F.concat(F.col("sales_date").cast("string"), F.lit(" 12:30:00")), total_cost=F.lit(None).cast("string"),
+    )
+    contract = check_files(list_drop(spark, root), root)
+    lines = data_lines(spark, root, contract.where(F.col("reason").isNull()))
+    masks = infer.column_masks(lines.withColumn("folder", _folder("file_location")), "folder")
+    return infer.inferred_types(masks, "folder")
+
+
+#: Buckets of the ledger's base in the query.
+BUCKETS = 16
+
+
+def ledger_anti_join(spark, sf_dir):
+    """Users and days with a signup that the ledger has not finished (no purchase on the day): a bucketed base of
+    earlier purchases, and a delta."""
+    events = _events_as_ledger(spark, sf_dir).withColumn("day", F.to_date("ts")).withColumn("version", ledger_base.version_of("user_id", "day"))
+    done = events.where("event_type = 'purchase'")
+    name = "ledger_base_" + uuid.uuid4().hex
+    path = config.shared_path(spark, "queries", "ledger_base")
+    ledger_base.write_base(done.where("event_id % 4 <> 0"), name, path, BUCKETS)
+    base = ledger_base.open_base(spark, name, path, BUCKETS)
+    listing = events.where("event_type = 'signup'").select("user_id", "day", "version").distinct()
+    return ledger_base.not_in_base(listing, base, done.where("event_id % 4 = 0"), BUCKETS).select("user_id", "day")
+
+
+def fold_variant(spark, sf_dir):
+    """Unexpected columns as one VARIANT: values and found types of each name."""
+    sales = td.sales(spark, sf_dir).select(
+        "payment_mode", "channel", (F.col("quantity") % 7).cast("string").alias("discount"),
+        F.when(F.col("quantity") % 2 == 0, F.col("quantity").cast("string")).otherwise(F.concat(F.lit("q"), "quantity")).alias("mixed"),
+    )
+    folded = sales.select(functions.fold_variant(sales.columns).alias("extras"))
+    values = folded.lateralJoin(spark.tvf.variant_explode(F.col("extras").outer()))
+    return values.groupBy(F.col("key").alias("name")).agg(
+        F.schema_of_variant_agg("value").alias("found_type"), F.count(F.lit(1)).alias("n"),
+        F.countDistinct(F.col("value").cast("string")).alias("n_distinct"), F.sum(F.try_variant_get("value", "$", "bigint")).alias("total"),
+    )
+
+
+def synth_sales(spark, sf_dir):
+    """As many generated sales as line items, keys drawn from the tables, an eighth of them on one customer and seller."""
+    customer = td.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+    team = td.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("store_id"))
+    product = td.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"), F.col("p_retailprice").cast(MONEY).alias("price"))
+    rows = td.table(spark, sf_dir, "lineitem").count()
+    return counter.counted_sales(spark, rows, 20, customer, team, product, hot_permille=125)
+
+
 def _events_as_ledger(spark, sf_dir):
     # events stand in for the ledger: user = file, event type = status.
     return td.table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id")
@@ -305,6 +428,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "job_customer_monthly": job_customer_monthly,
     "job_seller_monthly": job_seller_monthly,
     "job_detail_committed": job_detail_committed,
+    "job_snapshots": job_snapshots,
+    "job_monthly_incremental": job_monthly_incremental,
+    "stream_ledger_latest": stream_ledger_latest,
+    "conform_multiline": conform_multiline,
+    "inferred_types": inferred_types,
+    "ledger_anti_join": ledger_anti_join,
+    "fold_variant": fold_variant,
+    "synth_sales": synth_sales,
     "ledger_latest": ledger_latest,
     "ledger_prior_run": ledger_prior_run,
 }

@@ -11,6 +11,8 @@ same when a task is retried.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +36,29 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
 
 
+def append_files(df: DataFrame, path: str) -> None:
+    """Add ``df`` to the table at ``path`` beside other writers.
+
+    Spark's own append stages under ``path`` itself, where writers disturb
+    each other; here the files are written aside and then moved in under names
+    of their own.  A crash between two moves leaves some of the rows.
+    """
+    spark = df.sparkSession
+    name = uuid.uuid4().hex
+    aside = f"{path.rsplit('/', 1)[0]}/_incoming/{name}"
+    write_parquet(df, aside)
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    for status in fs.listStatus(jvm.org.apache.hadoop.fs.Path(aside)):
+        file = status.getPath().getName()
+        if file.startswith("part-") and not fs.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path}/{name}-{file}")):
+            raise OSError(f"could not move {file} to {path}")
+    remove_path(spark, aside)
+    spark.catalog.refreshByPath(path)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite") -> None:
     """Write ``df`` under ``path/c1=../c2=..``; with ``overwrite`` only the
     partitions present in ``df`` are replaced (dynamic partition overwrite).

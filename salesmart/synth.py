@@ -106,6 +106,12 @@ def customer_dim(spark: SparkSession, n: int = 25) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in CUSTOMER_DIM.fields])
 
 
+def product_dim(spark: SparkSession) -> DataFrame:
+    """The products that the generated sales name, with their prices."""
+    rows = [(k, name, Decimal(price)) for k, (name, price) in enumerate(PRODUCTS, 1)]
+    return spark.createDataFrame(rows, "id int, name string, current_price decimal(18,2)")
+
+
 def store_dim(spark: SparkSession) -> DataFrame:
     df = spark.range(121, 125).select(
         F.col("id").cast("int").alias("id"),

@@ -1,0 +1,268 @@
+"""Overlapping runs, snapshots, incremental months and their recovery."""
+import os
+import shutil
+import threading
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from salesmart import synth
+from salesmart.plans import commits, job
+from salesmart.plans.ingest import NoValidFile
+from salesmart.sources.jdbc import JdbcTarget, connection, equal_row_ranges, merge_months, read_balanced, read_table, write_table
+
+HEADER = "customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost"
+
+
+@pytest.fixture(scope="module")
+def dims(spark):
+    return job.Dimensions(synth.customer_dim(spark), synth.store_dim(spark), synth.sales_team_dim(spark))
+
+
+def put(path, *lines):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write("\n".join((HEADER, *lines)) + "\n")
+
+
+def sale(cost, day="2023-03-03", customer=1, seller=1):
+    return f"{customer},121,tea,{day},{seller},4,2,{cost}"
+
+
+def totals(spark, out, number=None):
+    """Months of both marts and the detail's total, which must agree."""
+    cm = {r[0]: float(r[1]) for r in job.read_months(spark, out, "customer_monthly", number).groupBy("sales_date_month").agg(F.sum("total_sales")).collect()}
+    sm = {r[0]: float(r[1]) for r in job.read_months(spark, out, "seller_monthly", number).groupBy("sales_month").agg(F.sum("total_sales")).collect()}
+    assert cm == sm
+    for mart in job.DETAIL:
+        detail = job.read_committed(spark, out, mart, number).agg(F.sum("total_cost")).first()[0]
+        assert float(detail or 0) == pytest.approx(sum(cm.values()))
+    return cm
+
+
+def plain(spark, out):
+    rows = spark.read.parquet(f"{out}/seller_monthly").groupBy("sales_month").agg(F.sum("total_sales")).collect()
+    return {None if r[0] is None else str(r[0]): float(r[1]) for r in rows}
+
+
+def test_overlapping_runs_both_count_once(spark, tmp_path, dims):
+    """Another run over another drop commits while the first one is about to."""
+    out = str(tmp_path / "out")
+    put(f"{tmp_path}/a/a.csv", sale("10.00"), sale("1.00", "2023-04-01"))
+    put(f"{tmp_path}/b/b.csv", sale("100.00"))
+    inner = []
+
+    def other(_run):
+        if not inner:
+            inner.append(job.run(spark, f"{tmp_path}/b", out, dims))
+
+    outer = job.run(spark, f"{tmp_path}/a", out, dims, before_commit=other)
+    assert (outer.rows, inner[0].rows) == (2, 1)
+    assert totals(spark, out) == plain(spark, out) == {"2023-03": 110.0, "2023-04": 1.0}
+    assert [commits.read(spark, out, k).run_id for k in (1, 2)] == [inner[0].run_id, outer.run_id]
+    # an older snapshot stays readable
+    assert totals(spark, out, 1) == {"2023-03": 100.0} and totals(spark, out, 0) == {}
+    with pytest.raises(NoValidFile):
+        job.run(spark, f"{tmp_path}/a", out, dims)
+
+
+def test_runs_that_take_the_same_file(spark, tmp_path, dims):
+    """The slower run begins anew without the file that the other one committed."""
+    out = str(tmp_path / "out")
+    put(f"{tmp_path}/a/a.csv", sale("10.00"))
+    seen = []
+
+    def other(_run):
+        if not seen:
+            seen.append(1)
+            put(f"{tmp_path}/a/late.csv", sale("5.00", "2023-05-01"))
+            job.run(spark, f"{tmp_path}/a", out, dims)
+            put(f"{tmp_path}/a/later.csv", sale("0.50", "2023-05-01"))
+
+    result = job.run(spark, f"{tmp_path}/a", out, dims, before_commit=other)
+    assert (result.accepted, result.skipped) == (1, 2)
+    assert totals(spark, out) == plain(spark, out) == {"2023-03": 10.0, "2023-05": 5.5}
+
+
+def test_runs_of_several_threads(spark, tmp_path, dims):
+    out = str(tmp_path / "out")
+    for k in range(4):
+        put(f"{tmp_path}/d{k}/x.csv", sale(f"{10 ** k}.00"), sale("1.00", f"2023-0{k + 4}-01", customer=2))
+    errors = []
+
+    def go(k):
+        try:
+            job.run(spark, f"{tmp_path}/d{k}", out, dims)
+        except Exception as exc:  # noqa: BLE001
+            errors.append(exc)
+
+    threads = [threading.Thread(target=go, args=(k,)) for k in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(600)
+    assert errors == [] and commits.latest_number(spark, out) == 4
+    assert totals(spark, out) == {"2023-03": 1111.0, "2023-04": 1.0, "2023-05": 1.0, "2023-06": 1.0, "2023-07": 1.0}
+
+
+def test_a_live_run_is_left_alone_and_a_dead_one_is_cleared(spark, tmp_path, dims):
+    out = str(tmp_path / "out")
+    put(f"{tmp_path}/a/a.csv", sale("10.00"))
+    seen = []
+
+    def look(run_id):
+        seen.append(run_id)
+        assert job.remove_orphans(spark, out) == []
+        assert os.path.isdir(f"{out}/seller_detail/run_id={run_id}")
+
+    job.run(spark, f"{tmp_path}/a", out, dims, before_commit=look)
+    assert totals(spark, out) == {"2023-03": 10.0} and os.listdir(f"{out}/_leases") == []
+
+    put(f"{tmp_path}/a/b.csv", sale("1.00"))
+
+    def die(_run):
+        raise RuntimeError("stop")
+
+    with pytest.raises(RuntimeError, match="stop"):
+        job.run(spark, f"{tmp_path}/a", out, dims, before_commit=die)
+    assert len(commits.ended_leases(spark, out)) == 1
+    assert len(job.remove_orphans(spark, out)) == 1 and os.listdir(f"{out}/_leases") == []
+    assert len([d for d in os.listdir(f"{out}/seller_detail") if d.startswith("run_id=")]) == 1
+
+    def cleared(run_id):
+        commits.write_text(spark, f"{out}/_leases/{run_id}.json", '{"until": 0}')
+        assert job.remove_orphans(spark, out) == [run_id]
+
+    with pytest.raises(commits.LostLease):  # a run that lost its folders does not commit
+        job.run(spark, f"{tmp_path}/a", out, dims, before_commit=cleared)
+    assert totals(spark, out) == {"2023-03": 10.0}
+    job.run(spark, f"{tmp_path}/a", out, dims)
+    assert totals(spark, out) == plain(spark, out) == {"2023-03": 11.0}
+
+
+def test_failed_attempts_leave_no_bad_rows_and_no_audit(spark, tmp_path, dims):
+    out = str(tmp_path / "out")
+    put(f"{tmp_path}/a/a.csv", sale("10.00"), sale("x"), sale("y"), sale("5.00", customer=999))
+
+    def die(_run):
+        raise RuntimeError("stop")
+
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="stop"):
+            job.run(spark, f"{tmp_path}/a", out, dims, before_commit=die)
+    job.run(spark, f"{tmp_path}/a", out, dims)
+    assert job.read_committed(spark, out, "bad_rows").count() == 2
+    assert [(r["dimension"], r["key"], r["n"]) for r in job.read_committed(spark, out, "unmatched").collect()] == [("customer", "999", 1)]
+
+
+def test_a_second_run_reads_only_its_own_detail(spark, tmp_path, dims):
+    """Months are merged from states: the detail of the first run is not there any more."""
+    out = str(tmp_path / "out")
+    put(f"{tmp_path}/a/a.csv", sale("10.00"), sale("2.00", "2023-04-01"), sale("", "2023-06-01"))
+    first = job.run(spark, f"{tmp_path}/a", out, dims)
+    for mart in (*job.DETAIL, *job.DELTAS.values()):
+        shutil.rmtree(f"{out}/{mart}/run_id={first.run_id}")
+    put(f"{tmp_path}/a/b.csv", sale("5.00"), sale("7.00", customer=2))
+    assert job.run(spark, f"{tmp_path}/a", out, dims).months == ["2023-03"]
+    cm = {(r["customer_id"], r["sales_date_month"]): r["total_sales"] for r in job.read_months(spark, out, "customer_monthly").collect()}
+    assert {k: None if v is None else float(v) for k, v in cm.items()} == {(1, "2023-03"): 15.0, (2, "2023-03"): 7.0, (1, "2023-04"): 2.0, (1, "2023-06"): None}
+    # months that no run touches keep their folders
+    one, two = (commits.read(spark, out, k).months["seller_monthly"] for k in (1, 2))
+    assert one["2023-04"] == two["2023-04"] and one["2023-03"] != two["2023-03"]
+
+
+def test_a_replaced_version_is_taken_back(spark, tmp_path, dims):
+    out = str(tmp_path / "out")
+    put(f"{tmp_path}/a/a.csv", sale("10.00"), sale("2.00", "2023-04-01"))
+    put(f"{tmp_path}/a/b.csv", sale("1.00"))
+    job.run(spark, f"{tmp_path}/a", out, dims, replace=True)
+    for cost, want in (("30.00", {"2023-03": 31.0}), ("400.00", {"2023-03": 401.0}), ("", {"2023-03": 1.0})):
+        put(f"{tmp_path}/a/a.csv", sale(cost))
+        os.utime(f"{tmp_path}/a/a.csv", (time.time() + 5 + len(want), time.time() + 5 + len(cost)))
+        job.run(spark, f"{tmp_path}/a", out, dims, replace=True)
+        assert totals(spark, out) == plain(spark, out) == want
+    assert totals(spark, out, 1) == {"2023-03": 11.0, "2023-04": 2.0}
+
+
+def test_dying_between_commit_and_publish(spark, tmp_path, dims):
+    out = str(tmp_path / "out")
+    put(f"{tmp_path}/a/a.csv", sale("10.00"))
+    with pytest.raises(Exception):
+        job.run(spark, f"{tmp_path}/a", out, dims, jdbc=JdbcTarget("jdbc:none:nowhere", {}))
+    assert totals(spark, out) == {"2023-03": 10.0} and commits.latest_number(spark, out) == 1
+    assert job.publish(spark, out, dims) == ["2023-03"] and job.publish(spark, out, dims) == []
+    assert plain(spark, out) == {"2023-03": 10.0}
+
+
+def test_expired_snapshots(spark, tmp_path, dims):
+    out = str(tmp_path / "out")
+    for k in range(3):
+        put(f"{tmp_path}/a/{k}.csv", sale("1.00"))
+        job.run(spark, f"{tmp_path}/a", out, dims)
+    assert job.expire_snapshots(spark, out, keep=1) == 8
+    assert totals(spark, out) == {"2023-03": 3.0}
+
+
+def test_manifest_numbers_are_taken_once(spark, tmp_path):
+    """Many writers of one number: one wins; the list of runs moves to a table when it is long."""
+    out = str(tmp_path)
+    os.makedirs(f"{out}/_commits")
+    won = []
+    threads = [threading.Thread(target=lambda k=k: won.append(commits.create_if_absent(spark, f"{out}/_commits/{1:020d}.json", str(k)))) for k in range(8)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert sorted(won) == [False] * 7 + [True]
+    os.remove(f"{out}/_commits/{1:020d}.json")
+    now = commits.Manifest()
+    for k in range(commits.INLINE + 5):
+        now = commits.append(spark, out, now, 1000 + k, [], {})
+    assert len(now.runs) < 10 and now.runs_table
+    assert sorted(r[0] for r in commits.runs_of(spark, out, commits.read(spark, out)).collect()) == list(range(1000, 1000 + commits.INLINE + 5))
+
+
+@pytest.fixture
+def derby(spark, tmp_path):
+    target = JdbcTarget(f"jdbc:derby:{tmp_path / 'derby'};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
+    try:
+        write_table(spark.range(1).toDF("x"), target, "probe", "overwrite")
+    except Exception as exc:  # pragma: no cover - driver not on the classpath
+        pytest.skip(f"embedded Derby unavailable: {exc}")
+    return target
+
+
+def test_months_are_merged_in_one_transaction(spark, derby):
+    rows = lambda *some: spark.createDataFrame(some, "sales_month string, k int, total_sales decimal(18,2)").repartition(3)
+    from decimal import Decimal as D
+
+    merge_months(rows(("2023-03", 1, D(5)), ("2023-04", 1, D(7)), (None, 1, D(1))), derby, "mart", "sales_month", ["2023-03", "2023-04", None])
+    merge_months(rows(("2023-04", 2, D(9)), (None, 3, D(2))), derby, "mart", "sales_month", ["2023-04", "2023-05", None])
+    read = lambda: sorted((r["sales_month"] or "", r["k"], int(r["total_sales"])) for r in read_table(spark, derby, "mart").collect())
+    want = [("", 3, 2), ("2023-03", 1, 5), ("2023-04", 2, 9)]
+    assert read() == want
+    # a crash after the deletes: the staged rows do not fit, nothing of the transaction stays
+    with connection(spark, derby) as db:
+        statement = db.createStatement()
+        statement.executeUpdate('ALTER TABLE mart ADD CONSTRAINT small CHECK ("k" < 100)')
+        statement.close()
+    with pytest.raises(Exception):
+        merge_months(rows(("2023-03", 500, D(1))), derby, "mart", "sales_month", ["2023-03"])
+    assert read() == want
+    merge_months(rows(("2023-03", 4, D(6))), derby, "mart", "sales_month", ["2023-03"])
+    assert read() == [("", 3, 2), ("2023-03", 4, 6), ("2023-04", 2, 9)]
+
+
+def test_ranges_of_equal_row_counts(spark, derby):
+    """Skewed keys: a third of the rows on one key, the rest far apart, and NULLs."""
+    keys = [(7,)] * 300 + [(k * k * 1000,) for k in range(600)] + [(None,)] * 10
+    write_table(spark.createDataFrame(keys, "id long"), derby, "skewed", "overwrite")
+    assert len(equal_row_ranges(spark, derby, "skewed", "id", 6)) <= 6
+    got = read_balanced(spark, derby, "skewed", "id", 6)
+    sizes = [len(p) for p in got.rdd.glom().collect()]
+    assert sum(sizes) == 910 and sorted(map(repr, (r[0] for r in got.collect()))) == sorted(repr(k[0]) for k in keys)
+    assert max(sizes) <= 300 + 160 and sorted(sizes)[0] >= 100
+    assert read_balanced(spark, derby, "skewed", "id", 6, connections=2).rdd.getNumPartitions() == 2
+    write_table(spark.createDataFrame([], "id long"), derby, "nothing", "overwrite")
+    assert read_balanced(spark, derby, "nothing", "id", 4).count() == 0
