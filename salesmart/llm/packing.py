@@ -54,7 +54,7 @@ def cut_table(capacity: int) -> list[tuple[int, ...]]:
     return cuts
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, cached: int = CACHED, width: int = 2) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, cached: int = CACHED, width: int = 2, slice_bytes: int = 4 << 20) -> DataFrame:
     """Documents cut into pieces: ``ids`` (little-endian, ``width`` bytes each), their ``ids_crc32`` as 32-bit ids, class length ``length``, and the piece's number within its worker and class."""
     cuts = cut_table(capacity)
 
@@ -87,7 +87,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, cached:
             ids = pa.Array.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer((width * ends).tobytes()), raw]).cast(pa.binary())
             return pa.RecordBatch.from_arrays([key, longs[0], longs[1], longs[2], workers, longs[3], crc, ids], ["doc_id", "start", "length", "doc_tokens", "worker", "number", "ids_crc32", "ids"])
 
-        for part in slices(batches, max_bytes=4 << 20):
+        for part in slices(batches, max_bytes=slice_bytes):
             yield cut(part)
         release(keep=True)
 
@@ -112,15 +112,16 @@ def leftovers(totals: dict[int, int], capacity: int) -> tuple[list[tuple[int, in
     return places, len(room)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, cached: int = CACHED, width: int = 2) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, cached: int = CACHED, width: int = 2, slice_bytes: int = 4 << 20) -> DataFrame:
     """One row per piece: ``doc_id, start, length, doc_tokens, ids_crc32, ids, sequence_id, offset``.
 
-    ``cached``: chunks of text whose ids each worker remembers (about 200 bytes
-    each).  ``width``: bytes of an id in ``ids`` (2 for vocabularies up to
+    ``cached``: chunks of text whose ids each worker remembers (about 60 bytes
+    each).  ``slice_bytes``: text that is encoded at once (about 60 times as
+    much memory).  ``width``: bytes of an id in ``ids`` (2 for vocabularies up to
     65,536); ``ids_crc32`` is of the ids as 32-bit integers.
     """
     spark = docs.sparkSession
-    cut = settle(pieces(texts(docs), tokenizer, capacity, end_id, cached, width), "packing")
+    cut = settle(pieces(texts(docs), tokenizer, capacity, end_id, cached, width, slice_bytes), "packing")
     counts = cut.groupBy("length", "worker").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("worker").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("length", "worker", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"), "n")
