@@ -45,8 +45,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    # the executors still hold what the earlier stages needed: remember fewer chunks
-    pieces = packing.pack(docs, tokenizer(), capacity=2048, end_id=1, cached=400_000)
+    # the executors still hold what the earlier stages needed: smaller slices, fewer known chunks
+    pieces = packing.pack(docs, tokenizer(), capacity=2048, end_id=1, cached=150_000, slice_bytes=1 << 20)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")
 
 
