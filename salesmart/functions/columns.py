@@ -57,7 +57,9 @@ def fold_values(names: list[str]) -> Column:
 
 def variant_of(value: Column) -> Column:
     """A text as a VARIANT: what it reads as in JSON (numbers, booleans), else the string."""
-    return F.coalesce(F.try_parse_json(value), value.cast("variant"))
+    # only what begins like JSON is parsed: a text that fails costs an exception
+    parsed = F.when(value.rlike(r'^\s*(-?[0-9]|[\[{"]|(true|false|null)\s*$)'), F.try_parse_json(value))
+    return F.coalesce(parsed, value.cast("variant"))
 
 
 def fold_variant(names: list[str]) -> Column:
