@@ -36,6 +36,7 @@ SALES = T.StructType(
     ]
 )
 
+# Columns of the dimensions.
 CUSTOMER_DIM = T.StructType(
     [
         T.StructField("customer_id", T.LongType()),
@@ -67,7 +68,7 @@ SALES_TEAM_DIM = T.StructType(
     ]
 )
 
-# Columns of the enriched (star-joined) sales frame, in publish order.
+# Columns of the enriched (star-joined) sales frame, in publish order.
 ENRICHED_COLUMNS = [
     "customer_id",
     "first_name",
@@ -89,6 +90,7 @@ ENRICHED_COLUMNS = [
     "total_cost",
 ]
 
+# Columns of the two detail marts.
 CUSTOMER_MART_DETAIL = [
     "customer_id",
     "first_name",
@@ -130,6 +132,7 @@ _VERSION_FIELDS = [
     T.StructField("modification_time", T.TimestampType()),
 ]
 
+# Columns of the control table, with the file's version.
 LEDGER = T.StructType(
     [
         *_VERSION_FIELDS,
