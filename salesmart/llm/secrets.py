@@ -6,7 +6,12 @@ near a sensitive word is compressed with a zstandard dictionary primed with
 the text around it and a list of common identifiers: what an author would
 write there costs few marginal bytes, a random credential nearly all of its
 information.  Candidates whose marginal bytes reach NOVEL of what random
-characters of their alphabet hold are reported as ``novel``.  Candidates parted
+characters of their alphabet hold are reported as ``novel``.  Other copies of
+the candidate are taken out of the text that primes, so a credential that
+stands many times is reported each time.  zstandard stores a short string's
+letters as they are, so for strings without digits the order of the letters
+decides besides: by the letter pairs of the same text and identifiers it must
+cost more than words do (see letter_bits).  Candidates parted
 only by line ends, quotes and the like are one run (the lines of a key): a
 sensitive word near its ends counts for all of them.
 
@@ -18,6 +23,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
+from collections import Counter
+from functools import lru_cache
 from math import log2
 
 import pyarrow as pa
@@ -47,6 +55,10 @@ NOVEL = 0.93
 #: Alphabets that keys are written in, smallest first; symbols come on top.
 ALPHABETS = ((16, re.compile(r"[0-9A-F]*|[0-9a-f]*")), (22, re.compile(r"[0-9A-Fa-f]*")), (32, re.compile(r"[A-Z2-7]*|[a-z2-7]*")), (36, re.compile(r"[A-Z0-9]*|[a-z0-9]*")))
 _SYMBOL = re.compile(r"[+/_=-]")
+_LETTERS = re.compile(r"[A-Z]*[a-z]+|[A-Z]+")
+#: Bits of a letter from which a string without digits is no word (a random letter holds 4.7 and costs more, since
+#: the pairs are not its own); what a pair of letters that was never seen counts as.
+LETTER_BITS, UNSEEN = log2(26) + 0.5, 0.1
 #: Identifiers that code and configuration commonly hold; they prime every dictionary.
 IDENTIFIERS = (
     b"access_key api_key apikey application/json auth_token authorization authentication basic bearer base64 "
@@ -95,12 +107,49 @@ def sensitive(text: str, start: int, end: int) -> bool:
     return bool(SENSITIVE.search(text[max(0, start - NEAR) : start]) or SENSITIVE.search(text[end : end + NEAR]))
 
 
-def plausible(string: str) -> bool:
-    """Credentials mix digits with letters; plain and numbered words do not."""
+@lru_cache(maxsize=1)
+def _identifier_pairs() -> Counter:
+    return letter_pairs(IDENTIFIERS.decode())
+
+
+def letter_pairs(text: str) -> Counter:
+    """How often each pair of neighbouring letters occurs in the words of ``text``, in lower case; a capital begins a word."""
+    return Counter(pair for word in _LETTERS.findall(text) for pair in map("".join, zip(word.lower(), word[1:].lower())))
+
+
+def letter_bits(string: str, around: str) -> float:
+    """Bits that each letter after another one in ``string`` costs, by the letter pairs of ``around`` and the identifiers."""
+    pairs = letter_pairs(string)
+    known = letter_pairs(around)
+    known.update(_identifier_pairs())
+    first: Counter = Counter()
+    for pair, n in known.items():
+        first[pair[0]] += n
+    bits = sum(n * -log2((known[pair] + UNSEEN) / (first[pair[0]] + 26 * UNSEEN)) for pair, n in pairs.items())
+    return bits / max(pairs.total(), 1)
+
+
+def plausible(string: str, around: str) -> bool:
+    """Credentials mix digits with letters, or have letters in no order that words have."""
     digits = sum(c.isdigit() for c in string)
     letters = sum(c.isalpha() for c in string)
-    turns = sum(a.isdigit() != b.isdigit() or a.islower() != b.islower() for a, b in zip(string, string[1:]))
-    return digits >= 1 and letters >= 2 and turns * 5 >= len(string)
+    if digits:
+        turns = sum(a.isdigit() != b.isdigit() or a.islower() != b.islower() for a, b in zip(string, string[1:]))
+        return letters >= 2 and turns * 5 >= len(string)
+    return letters * 2 >= len(string) and letter_bits(string, around) >= LETTER_BITS
+
+
+def disjoint(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of what ``spans`` (in order) cover, overlapping ones joined."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, _, end in spans:
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
 
 
 def find(text: str | None) -> list[tuple[int, int, int]]:
@@ -117,16 +166,19 @@ def find(text: str | None) -> list[tuple[int, int, int]]:
     if b"h" * LEAST_HEX in raw.translate(_TO_HEX):
         spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     if b"x" * LEAST_NOVEL in raw.translate(_TO_CANDIDATE):
-        known = sorted(spans)
+        starts, ends = disjoint(sorted(spans))
         for run in runs(text):
             whole, reported = sensitive(text, run[0].start(), run[-1].end()), False
             for m in run:
                 start, end = m.span()
-                if not plausible(m[0]) or any(a < end and start < b for a, _, b in known):
+                at = bisect_right(ends, start)  # the first that ends behind the candidate's start
+                if at < len(starts) and starts[at] < end:
                     continue
                 if not whole and not sensitive(text, start, end):
                     continue
-                around = text[max(0, start - AROUND) : start] + " " + text[end : end + AROUND]
+                around = (text[max(0, start - AROUND) : start] + " " + text[end : end + AROUND]).replace(m[0], " ")
+                if not plausible(m[0], around):
+                    continue
                 if novelty(m[0].encode(), around.encode("utf-8", "replace")) >= NOVEL * information(m[0]):
                     spans.append((start, 3, end))
                     reported = True
