@@ -7,9 +7,9 @@ its own, so that neither NULL nor repeated ids can join or part them.
 *Trees.*  Each set has SIGNATURE minwise tokens.  Every tree branches the
 representatives by a chosen token (those with an equal token meet in a node);
 a node of more than NODE members is branched again by BRANCHES tokens chosen
-by its path, down to DEPTH levels, and a node that is still larger is split
-into pairs of blocks.  Small nodes are compared exhaustively on 8-bit
-sketches of the tokens.  Two sets of similarity 0.8 miss each other in one
+by its path, down to DEPTH levels.  Small nodes are compared exhaustively on
+8-bit sketches of the tokens; a node that is still larger is dealt in blocks
+(see large_edges).  Two sets of similarity 0.8 miss each other in one
 tree with probability 0.2 (0.26 if their nodes are branched to the last
 level), so TREES independent trees leave a pair out with probability below
 1e-9, and the sketch comparison (more than four standard deviations below the
@@ -19,8 +19,14 @@ threshold) below 2e-5.
 pairs.  The forests' components are candidate clusters: every link that any
 tree has found lies inside one.  Each representative's full set goes once to
 its cluster, where links are confirmed exactly; clusters too large for one
-task are compared as pairs of blocks.  Confirmed links, again as forests, are
-joined to components.
+task are dealt in blocks.  Confirmed links, again as forests, are joined to
+components.
+
+*Large groups.*  Every block of a large group meets the same pivots, members
+chosen by their hash, which is linear in the group and joins a group of near
+copies at once.  Members outside the group's largest part then meet all its
+members, block by block: no link is lost, and the work beyond the linear part
+is that of the members that are not copies of most others.
 
 Texts without words have an empty set and no link.  NULL ids are never the
 smallest of a component; a component of NULL ids only has a NULL id.  An
@@ -39,8 +45,8 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from salesmart.llm.common import Words, by_slice, gram_hashes, id_filter, mix, release, settle, slices, split_by_ids, temporary, texts
 
-#: Words of a shingle; similarity as a ratio of integers.
-SHINGLE, ABOVE, BELOW = 4, 80, 100
+#: Words of a shingle in the report and in a pipeline's stage; similarity as a ratio of integers.
+SHINGLE, STAGE_SHINGLE, ABOVE, BELOW = 4, 5, 80, 100
 #: Minwise tokens of a set, trees, levels of branching below the first, tokens branched by at each.
 SIGNATURE, TREES, DEPTH, BRANCHES = 128, 16, 3, 2
 #: Members of a node that are compared exhaustively.
@@ -82,12 +88,12 @@ def fingerprint(tokens: np.ndarray) -> bytes | None:
     return blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
 
 
-def sets(docs: DataFrame) -> DataFrame:
+def sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``doc_id, n_shingles, print`` (128 bits of the set), ``sig`` and ``sketch`` (a byte of each token); empty sets have none."""
     docs = texts(docs)
 
     def run(part):
-        found = shingle_sets(part.column("text"))
+        found = shingle_sets(part.column("text"), size)
         prints = [fingerprint(s) for s in found]
         # equal sets of one slice share a signature
         known: dict[bytes, tuple[bytes, bytes]] = {}
@@ -149,28 +155,18 @@ def _shared(rows: DataFrame) -> DataFrame:
     return settle(rows.join(counts, "node"), "neardup-nodes")
 
 
-def _block_pairs(rows: DataFrame, key: str, blocks, *cols: str) -> DataFrame:
-    """``key`` becomes one key per pair of hashed blocks that a member's own block is part of."""
-    own = F.pmod(F.xxhash64("rep", F.lit(7)), F.col("_blocks"))
-    pair = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))
-    rows = rows.withColumn("_blocks", blocks.cast("long")).withColumn("_own", own).select("*", pair.alias("_other"))
-    return rows.select(F.xxhash64(F.col(key), F.least("_own", "_other"), F.greatest("_own", "_other")).alias(key), *cols)
-
-
-def leaves(reps: DataFrame) -> DataFrame:
-    """``node, rep``: members of all nodes that are compared exhaustively."""
+def leaves(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``node, rep``: members of the nodes that one task compares, and of larger ones (None if there is none)."""
     rows = _shared(_first_nodes(reps))
     small = rows.where(F.col("n") <= NODE).select("node", "rep")
     large = rows.where(F.col("n") > NODE)
     for _ in range(DEPTH):
         if large.isEmpty():
-            return small
+            return small, None
         rows = _shared(_branches(large.join(reps.select("rep", "sig"), "rep").select("node", "rep", "sig")))
         small = small.unionByName(rows.where(F.col("n") <= NODE).select("node", "rep"))
         large = rows.where(F.col("n") > NODE)
-    if large.isEmpty():
-        return small
-    return small.unionByName(_block_pairs(large, "node", F.ceil(F.col("n") / NODE) * 2, "rep"))
+    return small, None if large.isEmpty() else large.select("node", "rep")
 
 
 class Forest:
@@ -264,33 +260,72 @@ def _forest_edges(rows: DataFrame, key: str, value: str, compare) -> DataFrame:
     return rows.mapInArrow(run, f"u {kind}, v {kind}")
 
 
+def large_edges(rows: DataFrame, key: str, value: str, weight, bound: int, compare) -> DataFrame:
+    """As ``_forest_edges``, for keys whose members weigh more than ``bound``, what one task compares.
+
+    Each key is dealt in blocks of half the bound.  First every block is
+    compared together with the key's pivots, about half the bound chosen by
+    hash.  Then the members outside the key's largest part, in blocks too,
+    meet all its members.  A key's links are those of comparing all its pairs.
+    """
+    half = max(bound // 2, 1)
+    rows = rows.select(F.col(key).alias("key"), "rep", F.col(value).alias("value"), weight.cast("long").alias("w")).distinct()
+    total = rows.groupBy("key").agg(F.ceil(F.sum("w") / half).alias("blocks"))
+    dealt = rows.join(total, "key").withColumn("block", F.pmod(F.xxhash64("rep", F.lit(7)), "blocks"))
+    dealt = settle(dealt, "neardup-dealt")
+
+    def forest(parts: DataFrame) -> DataFrame:
+        parts = parts.select(F.xxhash64("key", "block", "other").alias("key"), "rep", "value")
+        return settle(_forest_edges(parts, "key", "value", compare), "neardup-forest")
+
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    pivots = dealt.where(F.pmod(F.xxhash64("rep", F.lit(11)), "blocks") == 0).select("key", "rep", "value", every.alias("block"))
+    none = F.lit(-1).cast("long").alias("other")
+    first = forest(dealt.select("key", "rep", "value", "block").unionByName(pivots).select("*", none))
+    part = components(first).withColumnRenamed("node", "rep")
+    labelled = dealt.select("key", "rep", "w").join(part, "rep", "left").select("key", "rep", "w", F.coalesce("component", "rep").alias("part"))
+    main = labelled.groupBy("key", "part").agg(F.sum("w").alias("w")).groupBy("key").agg(F.max(F.struct("w", "part")).alias("main"))
+    rest = settle(labelled.join(main, "key").where(F.col("part") != F.col("main.part")).select("key", "rep", "w"), "neardup-rest")
+    if rest.isEmpty():
+        return first
+    others = rest.groupBy("key").agg(F.ceil(F.sum("w") / half).alias("others"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1))
+    all_rows = dealt.join(others, "key").select("key", "rep", "value", "block", each.alias("other"))
+    own = dealt.join(rest.select("key", "rep"), ["key", "rep"]).join(others, "key")
+    own = own.select("key", "rep", "value", every.alias("block"), F.pmod(F.xxhash64("rep", F.lit(13)), "others").alias("other"))
+    return first.unionByName(forest(all_rows.unionByName(own)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` (smallest reachable node) for every node of ``u, v``.
 
-    Contraction: each node moves to its smallest neighbour and takes its edges
-    along, until no edge is left; at least half of the nodes go in each round.
-    Minima are combined before they are shuffled, and a node's many edges are
-    an ordinary skewed join.
+    Randomised contraction: each node moves to the one of its neighbours, or
+    itself, whose hash of this round is smallest, and takes its edges along,
+    until no edge is left.  Whatever the graph and the names, at most three
+    quarters of the nodes are expected to be left after a round, so their
+    number is logarithmic.  Minima are combined before they are shuffled, and
+    a node's many edges are an ordinary skewed join.  The rounds' moves, each
+    table smaller than the one before, are put together from the last back.
     """
     edges = settle(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct(), "neardup-edges")
-    found = None
-    while True:
+    rounds: list[DataFrame] = []
+    while not rounds or not edges.isEmpty():
         ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("to")), F.struct(F.col("v").alias("node"), F.col("u").alias("to")))).alias("e"))
-        moves = ends.select("e.node", "e.to").groupBy("node").agg(F.min("to").alias("to"))
-        moves = settle(moves.select("node", F.least("node", "to").alias("to")), "neardup-moves")
-        if found is None:
-            found = moves.withColumnRenamed("to", "component")
-        else:
-            step = moves.select(F.col("node").alias("component"), "to")
-            found = settle(found.join(step, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "neardup-components")
+        rank = lambda name: F.struct(F.xxhash64(F.col(name), F.lit(len(rounds))).alias("hash"), F.col(name).alias("to"))  # noqa: B023, E731
+        moves = ends.select("e.node", "e.to").groupBy("node").agg(F.min(rank("to")).alias("least"))
+        moves = settle(moves.select("node", F.least("least", rank("node"))["to"].alias("to")), "neardup-moves")
+        rounds.append(moves)
         a, b = (moves.select(F.col("node").alias(x), F.col("to").alias(f"to_{x}")) for x in "uv")
         edges = edges.join(a, "u").join(b, "v").select(F.least("to_u", "to_v").alias("u"), F.greatest("to_u", "to_v").alias("v"))
         edges = settle(edges.where("u <> v").distinct(), "neardup-edges")
-        if edges.isEmpty():
-            return found
+    found = rounds.pop().withColumnRenamed("to", "root")
+    for moves in reversed(rounds):
+        later = found.withColumnRenamed("node", "to")
+        found = settle(moves.join(later, "to", "left").select("node", F.coalesce("root", "to").alias("root")), "neardup-roots")
+    return found.join(found.groupBy("root").agg(F.min("node").alias("component")), "root").select("node", "component")
 
 
-def cluster_sets(docs: DataFrame, clusters: DataFrame) -> DataFrame:
+def cluster_sets(docs: DataFrame, clusters: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``cluster, rep, tokens``: the full sets of the classes in ``clusters`` (``cluster, rep, print`` and a member's ``id``).
 
     Documents in no cluster are not moved: the join is behind a filter of the
@@ -303,7 +338,7 @@ def cluster_sets(docs: DataFrame, clusters: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices([batch.filter(pa.array(member(batch.column("doc_id"))))]):
                 found = {}
-                for tokens in shingle_sets(part.column("text")):
+                for tokens in shingle_sets(part.column("text"), size):
                     mark = fingerprint(tokens)
                     if mark is not None and mark not in sent:
                         sent.add(mark)
@@ -314,30 +349,35 @@ def cluster_sets(docs: DataFrame, clusters: DataFrame) -> DataFrame:
     return texts(docs).mapInArrow(run, "print binary, tokens binary").join(clusters.select("print", "cluster", "rep"), "print").select("cluster", "rep", "tokens")
 
 
-def grouped(docs: DataFrame) -> DataFrame:
+def grouped(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``doc_id, n_shingles, print, component_id, first`` of every document; ``first`` is the print of the component's class that stays."""
-    all_sets = settle(sets(docs), "neardup-sets")
+    all_sets = settle(sets(docs, size), "neardup-sets")
     classes = all_sets.where("print IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n"))
     # the keys are fixed by being written
     classes = settle(classes.withColumn("rep", F.monotonically_increasing_id()), "neardup-classes")
     reps = classes.select("rep", "sig", "sketch", "n")
-    members = leaves(reps).join(reps.select("rep", "sketch"), "rep")
+    small, large = leaves(reps)
+    sketches = reps.select("rep", "sketch")
 
     def by_sketch(values):
         return sketch_forest(np.frombuffer(b"".join(values), np.uint8).reshape(len(values), SIGNATURE))
 
-    candidates = components(_forest_edges(members, "node", "sketch", by_sketch)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    edges = _forest_edges(small.join(sketches, "rep"), "node", "sketch", by_sketch)
+    if large is not None:
+        edges = edges.unionByName(large_edges(large.join(sketches, "rep"), "node", "sketch", F.lit(1), NODE, by_sketch))
+    candidates = components(edges).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     candidates = settle(candidates.join(classes.select("rep", "id", "print", "n"), "rep"), "neardup-candidates")
     weight = candidates.groupBy("cluster").agg(F.sum(F.col("n") * 8).alias("bytes"))
-    # two blocks of half the bound each meet in a task
-    split = settle(weight.where(F.col("bytes") > CLUSTER_BYTES).select("cluster", F.ceil(F.col("bytes") * 2 / CLUSTER_BYTES).alias("blocks")), "neardup-large")
-    full = cluster_sets(docs, candidates).join(split, "cluster", "left")
-    parts = _block_pairs(full, "cluster", F.coalesce("blocks", F.lit(1)), "rep", "tokens")
+    split = settle(weight.where(F.col("bytes") > CLUSTER_BYTES).select("cluster"), "neardup-large")
 
     def by_set(values):
         return exact_forest([np.frombuffer(v, np.uint64) for v in values])
 
-    linked = components(_forest_edges(parts, "cluster", "tokens", by_set)).withColumnRenamed("node", "rep").join(candidates.select("rep", "id", "print"), "rep")
+    edges = _forest_edges(cluster_sets(docs, candidates.join(split, "cluster", "left_anti"), size), "cluster", "tokens", by_set)
+    if not split.isEmpty():
+        hot = cluster_sets(docs, candidates.join(split, "cluster", "left_semi"), size)
+        edges = edges.unionByName(large_edges(hot, "cluster", "tokens", F.length("tokens"), CLUSTER_BYTES, by_set))
+    linked = components(edges).withColumnRenamed("node", "rep").join(candidates.select("rep", "id", "print"), "rep")
     # the smallest id stays, NULL last; of its texts the one of the smallest print
     best = linked.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "print")).alias("best"))
     linked = linked.join(best, "component").select("print", F.lit(True).alias("linked"), F.col("best.id").alias("best_id"), F.col("best.print").alias("best_print"))
@@ -348,15 +388,15 @@ def grouped(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", "print", component.alias("component_id"), "first")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every document."""
+def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every document, by shingles of ``size`` words."""
     with temporary(docs.sparkSession):
-        found = grouped(docs).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        found = grouped(docs, size).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
         return settle(found, "neardup", keep=True)
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each group of near-duplicates, all columns unchanged.
+def deduplicate(docs: DataFrame, size: int = STAGE_SHINGLE) -> DataFrame:
+    """One row of ``docs`` for each group of near-duplicates by shingles of ``size`` words, all columns unchanged.
 
     Rows of one id, or without one, are a group only if their texts are; texts
     without words if they are equal and of one id.  Only rows of documents that
@@ -364,14 +404,14 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """
     stays = F.col("print").isNull() | (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("print") == F.col("first")))
     with temporary(docs.sparkSession):
-        found = settle(grouped(docs).select("doc_id", "print", stays.alias("kept")), "neardup-kept", keep=True)
+        found = settle(grouped(docs, size).select("doc_id", "print", stays.alias("kept")), "neardup-kept", keep=True)
     special = found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("NOT kept OR n > 1")
     clear, near = split_by_ids(docs, special.select("doc_id"))
 
     def marked(batches):
         for part in slices(batches):
             column = part.column(part.schema.get_field_index("text"))
-            prints = [fingerprint(s) for s in shingle_sets(column.cast(pa.string()))]
+            prints = [fingerprint(s) for s in shingle_sets(column.cast(pa.string()), size)]
             # texts without words: NULL, or the text itself
             keys = [p if p is not None else b"" if t is None else b"t" + t.encode() for p, t in zip(prints, column.to_pylist())]
             fields = [*part.schema.names, "_print", "_key"]

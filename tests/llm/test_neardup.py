@@ -1,6 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from brute import near_components
 from salesmart.llm import neardup
@@ -75,6 +76,40 @@ def test_components_of_a_long_chain(spark):
     assert got == {n: min(part) for part in (first, second) for n in part}
 
 
+def test_rounds_for_a_path_in_order(spark, monkeypatch):
+    rounds, real = [], neardup.settle
+    monkeypatch.setattr(neardup, "settle", lambda df, name, **more: (rounds.append(name), real(df, name, **more))[1])
+    edges = spark.range(9_999).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
+    got = neardup.components(edges)
+    assert got.count() == 10_000 and got.where("component <> 0").isEmpty()
+    assert rounds.count("neardup-moves") < 40
+
+
+def test_large_groups_of_near_copies_in_linear_work(spark, monkeypatch):
+    """A third of all texts are near copies of one: what the blocks hold grows with the group, not with its square."""
+    rng = np.random.default_rng(12)
+    texts = copies(rng, [f"b{k}" for k in range(100)], 400, 0, 3) + [" ".join(f"w{k}" for k in rng.integers(0, 10**6, 80)) for _ in range(800)]
+    docs = [(k, texts[i]) for k, i in enumerate(rng.permutation(len(texts)).tolist())]
+    compared, real = [], neardup._forest_edges
+    monkeypatch.setattr(neardup, "NODE", 40)
+    monkeypatch.setattr(neardup, "CLUSTER_BYTES", 40_000)
+    monkeypatch.setattr(neardup, "_forest_edges", lambda rows, key, *rest: (compared.append(rows.count()) if key == "key" else None, real(rows, key, *rest))[1])
+    agree(neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect(), docs)
+    # sketches of up to 16 trees and all branches, then the sets
+    assert compared and compared[-1] <= 3 * 400
+
+
+def test_links_across_the_blocks_of_a_chain(spark):
+    """Neighbours of a chain are linked, others are not: pivots join little, the rest is compared as a whole."""
+    words = [f"c{k}" for k in range(400)]
+    sets_ = [(k, np.sort(np.array([hash(w) & 0xFFFFFFFF for w in words[k * 5 : k * 5 + 60]], np.uint64)).tobytes()) for k in range(60)]
+    rows = spark.createDataFrame([(1, rep, bytearray(t)) for rep, t in sets_] + [(2, 100 + rep, bytearray(t)) for rep, t in sets_[::3]], "cluster long, rep long, tokens binary")
+    by_set = lambda values: neardup.exact_forest([np.frombuffer(v, np.uint64) for v in values])
+    edges = neardup.large_edges(rows, "cluster", "tokens", F.length("tokens"), 4 * 480, by_set)
+    got = {r["node"]: r["component"] for r in neardup.components(edges).collect()}
+    assert got == {k: 0 for k in range(60)}
+
+
 def test_exact_forest_at_the_threshold():
     base = np.arange(90, dtype=np.uint64)
     # 80 of 100 in common, then 79 of 101

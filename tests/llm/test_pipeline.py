@@ -47,7 +47,7 @@ def test_quality(spark, sf, stages):
 
 def test_near_duplicates(stages):
     before, after = by_id(stages[1]), by_id(stages[2])
-    want = near_components([(d, r["text"]) for d, r in before.items()])
+    want = near_components([(d, r["text"]) for d, r in before.items()], size=5)
     assert after == {d: r for d, r in before.items() if want[d][1] == d}
 
 
