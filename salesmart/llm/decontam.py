@@ -1,9 +1,13 @@
-"""Benchmark decontamination: rare words as seeds, then Smith-Waterman alignment.
-
-An alignment that scores SHARE matches at least SHARE of the item's words,
-whatever was edited between them.  So of an item's words any choice of all but
-that many, and one, has a matched one: these are its seeds.  One pass over the
-documents counts the documents that hold each word, and the rarest are chosen.
+"""Benchmark decontamination: rare two-word seeds, then Smith-Waterman alignment.
+
+A passage counts if its alignment scores SHARE of the item's best.  With m
+matched words and e edits it scores 2m - e, so of an item of s words with
+SHARE one half at most m - s/2 of the m - 1 neighbouring matched pairs have
+two edits or more between them, and at least s/2 - 1 have one or none.  Such a
+pair stands at (i, i+1) or (i, i+2) in the item, and next to each other or one
+word apart in the document: these are the item's 2s - 3 seeds, and any choice
+of all but ceil(s/2 - 1) - 1 of them has a matched one.  One pass over the
+documents counts the documents that hold each seed, and the rarest are chosen.
 A second pass finds the stretch around each seed that an alignment through it
 could cover, passes over those that do not hold enough of the item's words,
 and aligns the others with the item, word by word (Smith-Waterman with linear
@@ -15,7 +19,8 @@ number.  No document is moved, so a passage that a third of all documents
 share is aligned where it lies.
 
 Words are compared with A-Z in lower case.  Items of fewer than LEAST_WORDS words
-cannot be told from chance and match nothing, nor do NULL and empty texts.
+count only where they stand word for word (a seed is their rarest pair, or
+their only word); items without words match nothing, nor do NULL and empty texts.
 Equal items each get their links; repeated documents get the same links.
 """
 
@@ -30,15 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from salesmart.llm.common import Words, by_slice, settle, slices, texts, without_ids
+from salesmart.llm.common import Words, by_slice, mix, settle, slices, texts, without_ids
 
-#: Words of the shortest item; share of the best possible alignment score from which a passage counts.
+#: Words of the shortest item that is aligned; share of the best possible alignment score from which a passage counts.
 LEAST_WORDS, SHARE = 5, 0.5
 #: Scores of an equal word, a changed word, and a word in only one of the two.
 EQUAL, CHANGED, GAP = 2, -1, -1
 #: Words of items in one block; cells of one batch of alignments.
 BLOCK_WORDS, BATCH_CELLS = 1_000_000, 1 << 20
-#: Item words in the stretches that are counted together.
+#: Places of items, or item words in their stretches, that are held together.
 BATCH_HITS = 1 << 20
 _TABLE_BITS = 20
 
@@ -67,52 +72,99 @@ class Block:
         return marks
 
 
-def make_block(ids: list, words: list[np.ndarray]) -> Block:
-    seed = np.concatenate(words) if words else np.zeros(0, np.uint64)
-    item = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    place = np.concatenate([np.arange(len(w)) for w in words]) if words else np.zeros(0, np.int64)
+def pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """One hash for each two words in order."""
+    return mix(mix(first) + second)
+
+
+def make_block(ids: list, words: list[np.ndarray], seeds: list[np.ndarray], places: list[np.ndarray]) -> Block:
+    """Items with their ``seeds`` and the place of each seed's first word."""
+    seed, place = np.concatenate(seeds), np.concatenate(places)
+    item = np.repeat(np.arange(len(words)), [len(x) for x in seeds])
     order = np.argsort(seed, kind="stable")
-    seeds, first = np.unique(seed[order], return_index=True)
-    return Block(ids, words, seeds, np.concatenate((first, [len(seed)])).astype(np.int64), item[order], place[order])
+    found, first = np.unique(seed[order], return_index=True)
+    return Block(ids, words, found, np.concatenate((first, [len(seed)])).astype(np.int64), item[order], place[order])
+
+
+def word_block(ids: list, words: list[np.ndarray]) -> Block:
+    """Items by their single words."""
+    return make_block(ids, words, words, [np.arange(len(w)) for w in words])
+
+
+def item_seeds(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An item's seeds and their places: pairs of neighbours, and those with one word between if it is aligned; a lone word with itself."""
+    if len(w) == 1:
+        return pairs(w, w), np.zeros(1, np.int64)
+    near = pairs(w[:-1], w[1:])
+    if len(w) < LEAST_WORDS:
+        return near, np.arange(len(near))
+    far = pairs(w[:-2], w[2:])
+    return np.concatenate((near, far)), np.concatenate((np.arange(len(near)), np.arange(len(far))))
 
 
-def blocks(items: DataFrame) -> Iterator[Block]:
-    """The items in bounded blocks, in a stable order."""
+def pair_block(ids: list, words: list[np.ndarray]) -> Block:
+    """Items by their seeds."""
+    both = [item_seeds(w) for w in words]
+    return make_block(ids, words, [seeds for seeds, _ in both], [places for _, places in both])
+
+
+def least_share(size: np.ndarray) -> np.ndarray:
+    """Of items of ``size`` words, the share of the best score that counts."""
+    return np.where(size < LEAST_WORDS, 1.0, SHARE)
+
+
+def blocks(items: DataFrame) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """Ids and words of the items in bounded blocks, in a stable order."""
     ids, words, held = [], [], 0
     for row in texts(items, key="item_id").orderBy("doc_id", "text").toLocalIterator():
         h = Words(pa.array([row["text"]], pa.string()), lower=True).hash
-        if len(h) < LEAST_WORDS:
+        if not len(h):
             continue
         ids.append(row["doc_id"])
         words.append(h)
         held += len(h)
         if held >= BLOCK_WORDS:
-            yield make_block(ids, words)
+            yield ids, words
             ids, words, held = [], [], 0
     if ids:
-        yield make_block(ids, words)
+        yield ids, words
 
 
-def hits(words: Words, block: Block, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the words that are seeds, and which seed."""
-    at = np.flatnonzero(table[words.hash & np.uint64((1 << _TABLE_BITS) - 1)])
-    seed = np.searchsorted(block.seeds, words.hash[at])
+def hits(hashes: np.ndarray, block: Block, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the hashes that are seeds, and which seed."""
+    at = np.flatnonzero(table[hashes & np.uint64((1 << _TABLE_BITS) - 1)])
+    seed = np.searchsorted(block.seeds, hashes[at])
     seed[seed == len(block.seeds)] = 0
-    same = block.seeds[seed] == words.hash[at]
+    same = block.seeds[seed] == hashes[at]
     return at[same], seed[same]
 
 
+def pair_hits(words: Words, block: Block, table: np.ndarray, lone: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the first words of seeds, next to each other or one word apart (``lone``: of single words too), and which seed."""
+    found = []
+    for apart in (0, 1, 2) if lone else (1, 2):
+        end = len(words.hash) - apart
+        if end <= 0:
+            continue
+        at, seed = hits(pairs(words.hash[:end], words.hash[apart:]), block, table)
+        one = words.doc[at] == words.doc[at + apart]
+        found.append((at[one], seed[one]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([at for at, _ in found]), np.concatenate([seed for _, seed in found])
+
+
 def rarest(docs: DataFrame, block: Block) -> Block:
-    """The block with each item's rarest words: all but as many as a passage with SHARE of the score must match, and one."""
-    table = block.table()
+    """The block with each item's rarest seeds: all but one fewer than a passage that counts must match."""
+    table, lone = block.table(), any(len(w) == 1 for w in block.words)
 
     def count(batches):
         sums = np.zeros(len(block.seeds), np.int64)
         for part in slices(batches):
             words = Words(part.column("text"), lower=True)
-            at, seed = hits(words, block, table)
-            pairs = np.unique(words.doc[at] * np.int64(len(block.seeds)) + seed) if len(at) else np.zeros(0, np.int64)
-            sums += np.bincount(pairs % max(len(block.seeds), 1), minlength=len(block.seeds))
+            at, seed = pair_hits(words, block, table, lone)
+            held_by = np.unique(words.doc[at] * np.int64(len(block.seeds)) + seed) if len(at) else np.zeros(0, np.int64)
+            sums += np.bincount(held_by % max(len(block.seeds), 1), minlength=len(block.seeds))
         some = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some])], ["seed", "n"])
 
@@ -127,7 +179,10 @@ def rarest(docs: DataFrame, block: Block) -> Block:
     rank = np.arange(len(item)) - np.repeat(np.cumsum(size) - size, size)
     wanted = np.zeros(len(item), bool)
     # order puts equal counts in the order of their place, so ties are the same in every run
-    wanted[order] = rank <= size[item] - np.ceil(SHARE * size[item])
+    length = np.array([len(w) for w in block.words])
+    # a short item must match all its seeds
+    must = np.where(length < LEAST_WORDS, size, np.ceil(SHARE * length - 1))
+    wanted[order] = rank <= size[item] - must[item]
     return block.keep(wanted)
 
 
@@ -137,7 +192,8 @@ class Overlap:
     def __init__(self, block: Block):
         self.block, self.items = block, len(block.ids)
         owner = np.repeat(np.arange(len(block.seeds)), np.diff(block.first))
-        self.need = np.ceil(SHARE * np.array([len(w) for w in block.words]))
+        size = np.array([len(w) for w in block.words])
+        self.need = np.ceil(least_share(size) * size)
         # each word of each item, and how often it stands there
         self.pairs, self.times = np.unique(owner * np.int64(self.items) + block.item, return_counts=True)
 
@@ -206,7 +262,7 @@ def align(passages: list[np.ndarray], items: list[np.ndarray]) -> np.ndarray:
 
 
 def links(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc_id, item_id, score, start_word, end_word``: passages whose alignment reaches SHARE of the item's best score."""
+    """``doc_id, item_id, score, start_word, end_word``: passages whose alignment reaches the share of the item's best score."""
     docs = texts(docs)
     key, item_key = docs.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
     item_type = to_arrow_type(items.schema["item_id"].dataType)
@@ -215,25 +271,37 @@ def links(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     def joined(whole: Block, block: Block) -> DataFrame:
         table, length = block.table(), np.array([len(w) for w in block.words])
+        lone, share = bool((length == 1).any()), least_share(length)
+        # room for as many inserted words as leave the share
+        spare = np.floor(EQUAL * length * (1 - share) / -GAP).astype(np.int64)
         all_words, overlap = whole.table(), Overlap(whole)
 
         def run(part):
             words = Words(part.column("text"), lower=True)
-            at, seed = hits(words, block, table)
+            at, seed = pair_hits(words, block, table, lone)
             if not len(at):
                 return None
+            known = hits(words.hash, whole, all_words)
             many = np.diff(block.first)[seed]
-            which = np.repeat(block.first[seed] - np.cumsum(many) + many, many) + np.arange(many.sum())
-            spot, item, place = np.repeat(at, many), block.item[which], block.place[which]
-            row, size = words.doc[spot], length[block.item[which]]
-            # the stretch of the document that the item would cover, with room for as many inserted words as leave SHARE
-            room = np.floor(EQUAL * size * (1 - SHARE) / -GAP).astype(np.int64)
-            low = np.maximum(spot - place - room, words.first[row])
-            high = np.minimum(spot - place + size + room, words.first[row + 1])
-            held = overlap.enough(*hits(words, whole, all_words), item, low, high)
-            if not held.any():
+            ends = np.cumsum(many)
+            left, done = [], 0
+            while done < len(at):
+                # a seed of many items is expanded in bounded batches
+                stop = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + BATCH_HITS, "right")))
+                n, first = many[done:stop], block.first[seed[done:stop]]
+                which = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                spot, item = np.repeat(at[done:stop], n), block.item[which]
+                begin, row = spot - block.place[which], words.doc[spot]
+                # the stretch of the document that the item would cover
+                low = np.maximum(begin - spare[item], words.first[row])
+                high = np.minimum(begin + length[item] + spare[item], words.first[row + 1])
+                # seeds of one alignment without edits ask for the same stretch
+                stretch = np.unique(np.stack((row, item, low, high)), axis=1)
+                left.append(stretch[:, overlap.enough(*known, stretch[1], stretch[2], stretch[3])])
+                done = stop
+            row, item, low, high = np.concatenate(left, axis=1)
+            if not len(row):
                 return None
-            row, item, low, high = row[held], item[held], low[held], high[held]
             order = np.lexsort((low, item, row))
             row, item, low, high = row[order], item[order], low[order], high[order]
             # overlapping stretches of one document and item are one passage
@@ -244,7 +312,7 @@ def links(docs: DataFrame, items: DataFrame) -> DataFrame:
             begin = np.flatnonzero(new)
             row, item, low, high = row[begin], item[begin], low[begin], np.maximum.reduceat(high, begin)
             score = align([words.hash[a:b] for a, b in zip(low, high)], [block.words[k] for k in item]) / (EQUAL * length[item])
-            good = np.flatnonzero(score >= SHARE)
+            good = np.flatnonzero(score >= share[item])
             if not len(good):
                 return None
             item_ids = pa.array([block.ids[k] for k in item[good]], item_type)
@@ -254,8 +322,8 @@ def links(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         return by_slice(docs, run, schema)
 
-    for block in blocks(items):
-        out = out.unionByName(joined(block, rarest(docs, block)))
+    for ids, words in blocks(items):
+        out = out.unionByName(joined(word_block(ids, words), rarest(docs, pair_block(ids, words))))
     return out
 
 

@@ -99,6 +99,35 @@ def test_lone_edited_copies_against_all_alignments(spark):
     assert all(np.isclose(r["score"], max(want.get(r["doc_id"], {0: 0}).values())) for r in rows)
 
 
+def test_short_items_word_for_word(spark):
+    items = {1: "Alpha", 2: "beta gamma", 3: "one two three four", 4: "two two", 5: " ", 6: "one two three four five"}
+    texts = {
+        10: "x alpha y", 11: "alphas", 12: "beta x gamma", 13: "q beta GAMMA", 14: "one two three x four", 15: "zero one two three four",
+        16: "two three two", 17: "x two two two", 18: "beta", 19: "gamma beta", 20: "", 21: None, 22: "one two zzz four five", 23: "gamma",
+    }
+    want = {10: [1], 13: [2], 14: [6], 15: [3, 6], 17: [4], 22: [6]}
+    tables = (spark.createDataFrame(list(t.items()), f"{k} long, text string") for k, t in (("doc_id", texts), ("item_id", items)))
+    rows = decontam.report(*tables).collect()
+    assert {r["doc_id"]: r["item_ids"] for r in rows if r["contaminated"]} == want and len(rows) == len(texts)
+
+
+def test_common_words_of_many_items_in_bounded_memory(spark, monkeypatch):
+    """Items of common words only against all alignments; what a slice holds at once stays below the bound."""
+    rng = np.random.default_rng(14)
+    word = lambda n: [f"z{int(k) % 60}" for k in rng.zipf(1.3, n)]
+    items = [(k, " ".join(word(8))) for k in range(150)]
+    docs = [(k, " ".join(word(120))) for k in range(12)]
+    want = {}
+    for doc, text in docs:
+        found = {i: smith_waterman(words(q), words(text)) / 16 for i, q in items}
+        want[doc] = [i for i, score in found.items() if score >= 0.5]
+    tables = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(tuple, decontam.links(*tables).collect()))
+    assert {r["doc_id"]: r["item_ids"] for r in decontam.report(*tables).collect()} == want
+    monkeypatch.setattr(decontam, "BATCH_HITS", 500)
+    assert sorted(map(tuple, decontam.links(*tables).collect())) == whole
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_alignment_against_the_recurrence(seed):
     rng = np.random.default_rng(seed)
@@ -118,8 +147,10 @@ def test_odd_rows(spark, odd):
     items = spark.createDataFrame([(1, "fox jumps over the lazy dog"), (2, "no id here")], "item_id long, text string")
     rows = decontam.report(odd, items).collect()
     assert len(rows) == odd.count()
-    assert {r["doc_id"] for r in rows if r["contaminated"]} == {1, 6}
+    # the short item stands word for word in the text without an id
+    assert {r["doc_id"] for r in rows if r["contaminated"]} == {None, 1, 6}
     left = decontam.clean(odd, items)
-    assert left.columns == odd.columns and left.count() == odd.count() - 3
+    assert left.columns == odd.columns and left.count() == odd.where("doc_id IS NOT NULL AND doc_id NOT IN (1, 6)").count()
+    assert decontam.clean(odd, items.where("item_id = 1")).count() == odd.count() - 3
     assert decontam.report(odd.limit(0), items).count() == 0
     assert decontam.report(odd, items.limit(0)).where("contaminated").count() == 0
