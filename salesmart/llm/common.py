@@ -295,10 +295,3 @@ def split_by_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> tuple[
         return docs.mapInArrow(run, docs.schema)
 
     return some(False), some(True)
-
-
-def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` (NULL is an id too) is not in ``ids``; only rows that may be are moved."""
-    ids = ids.select(F.col("doc_id").alias("_gone")).distinct()
-    clear, near = split_by_ids(docs, ids)
-    return clear.unionByName(near.join(ids, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti"))

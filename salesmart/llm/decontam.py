@@ -28,14 +28,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from salesmart.llm.common import Words, by_slice, mix, settle, slices, texts, without_ids
+from salesmart.llm.common import Words, by_slice, mix, settle, slices, split_by_ids, texts
 
 #: Words of the shortest item that is aligned; share of the best possible alignment score from which a passage counts.
 LEAST_WORDS, SHARE = 5, 0.5
@@ -261,12 +263,20 @@ def align(passages: list[np.ndarray], items: list[np.ndarray]) -> np.ndarray:
     return best
 
 
-def links(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc_id, item_id, score, start_word, end_word``: passages whose alignment reaches the share of the item's best score."""
+def text_mark(text: str | None) -> bytes:
+    """128 bits of a text."""
+    return blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def links(docs: DataFrame, items: DataFrame, marked: bool = False) -> DataFrame:
+    """``doc_id, item_id, score, start_word, end_word``: passages whose alignment reaches the share of the item's best score.
+
+    ``marked`` adds ``mark``, 128 bits of the document's text.
+    """
     docs = texts(docs)
     key, item_key = docs.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
     item_type = to_arrow_type(items.schema["item_id"].dataType)
-    schema = f"doc_id {key}, item_id {item_key}, score double, start_word long, end_word long"
+    schema = f"doc_id {key}, item_id {item_key}, score double, start_word long, end_word long" + (", mark binary" if marked else "")
     out = docs.sparkSession.createDataFrame([], schema)
 
     def joined(whole: Block, block: Block) -> DataFrame:
@@ -317,8 +327,12 @@ def links(docs: DataFrame, items: DataFrame) -> DataFrame:
                 return None
             item_ids = pa.array([block.ids[k] for k in item[good]], item_type)
             names = ["doc_id", "item_id", "score", "start_word", "end_word"]
-            base = words.first[row[good]]
-            return pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(row[good])), item_ids, pa.array(score[good]), pa.array(low[good] - base), pa.array(high[good] - base)], names)
+            base, rows = words.first[row[good]], pa.array(row[good])
+            columns = [part.column("doc_id").take(rows), item_ids, pa.array(score[good]), pa.array(low[good] - base), pa.array(high[good] - base)]
+            if marked:
+                columns.append(pa.array([text_mark(t) for t in part.column("text").take(rows).to_pylist()], pa.binary()))
+                names = [*names, "mark"]
+            return pa.RecordBatch.from_arrays(columns, names)
 
         return by_slice(docs, run, schema)
 
@@ -340,5 +354,20 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without a link, all columns unchanged."""
-    return without_ids(docs, settle(links(docs, items).select("doc_id").distinct(), "decontam-ids"))
+    """The rows of ``docs`` without a link, all columns unchanged.
+
+    A row goes for its own text: other texts of its id, or without an id, stay.
+    Only rows whose id may be that of a link are moved.
+    """
+    gone = settle(links(docs, items, marked=True).select("doc_id", "mark").distinct(), "decontam-ids")
+    clear, near = split_by_ids(docs, gone.select("doc_id"))
+
+    def mark(batches):
+        for part in slices(batches):
+            found = part.column(part.schema.get_field_index("text")).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array([text_mark(t) for t in found.to_pylist()], pa.binary())], [*part.schema.names, "_mark"])
+
+    near = near.mapInArrow(mark, StructType([*docs.schema.fields, StructField("_mark", BinaryType())]))
+    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("mark").alias("_with"))
+    near = near.join(gone, (F.col("_mark") == F.col("_with")) & F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return clear.unionByName(near.select(docs.columns))

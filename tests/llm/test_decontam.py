@@ -151,6 +151,9 @@ def test_odd_rows(spark, odd):
     assert {r["doc_id"] for r in rows if r["contaminated"]} == {None, 1, 6}
     left = decontam.clean(odd, items)
     assert left.columns == odd.columns and left.count() == odd.where("doc_id IS NOT NULL AND doc_id NOT IN (1, 6)").count()
+    # a row goes for its own text only
+    more = odd.unionByName(odd.where("doc_id = 5").selectExpr("* EXCEPT (doc_id)", "explode(array(NULL, 1L)) AS doc_id"))
+    assert sorted(str(r["doc_id"]) for r in decontam.clean(more, items).where("text = 'one'").collect()) == ["1", "5", "None"]
     assert decontam.clean(odd, items.where("item_id = 1")).count() == odd.count() - 3
     assert decontam.report(odd.limit(0), items).count() == 0
     assert decontam.report(odd, items.limit(0)).where("contaminated").count() == 0
