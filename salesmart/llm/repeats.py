@@ -17,9 +17,14 @@ travel: the others are repeated whatever happens elsewhere.  A first pass
 finds runs of GRAM words that are very frequent (as the words of a shared
 passage are); they rank behind all others as minimisers, so that the many
 different windows across the edge of a shared passage go to the buckets of
-their own rare words.
-
-Documents of fewer than WINDOW words and NULL texts have no window.  A NULL id
+their own rare words.  What is frequent is a share of the corpus, so a single
+minimiser may still hold more than a task should: a bucket of more than
+WHOLE_BYTES is read in parts of PART_BYTES.  Windows repeated within a part
+are settled there; of every other window the part hands on its hash and the
+places in the part's smallest document, and these meet by hash in a second
+shuffle.
+
+Ids are integers (others end in a cast error).  Documents of fewer than WINDOW words and NULL texts have no window.  A NULL id
 is neither smaller nor larger than another: such documents keep all words.
 Rows with the same id are one document (their windows do not repeat each
 other); spans found in one of them are removed from all.  An empty table gives
@@ -42,6 +47,10 @@ WINDOW, GRAM = 13, 3
 BUCKET_BYTES = 8 << 20
 #: Bytes of text whose strings are packed together.
 PACK_BYTES = 4 << 20
+#: Bytes of a bucket (unpacked) that a task holds at once, and of the parts in which a larger one is read.
+WHOLE_BYTES, PART_BYTES = 48 << 20, 16 << 20
+#: Buckets dealt to one task at most, on average.
+TASK_BUCKETS = 16
 #: Cells of the frequency table; share of all runs from which a cell is frequent.
 CELL_BITS, FREQUENT = 20, 2.0**-15
 
@@ -161,9 +170,13 @@ def super_kmers(part: pa.RecordBatch, frequent: np.ndarray, buckets: int, own: i
     return pa.RecordBatch.from_arrays([pa.array(out_bucket, pa.int64()), pa.array(out_settled, pa.bool_()), pa.array(blobs, pa.binary())], ["bucket", "settled", "blob"])
 
 
-def repeated_windows(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, start and end (in words) of every stretch of repeated windows in one bucket."""
-    nothing = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+def repeated_windows(blobs: list[bytes], part: bool = False) -> tuple[np.ndarray, ...]:
+    """Document, start and end (in words) of every stretch of repeated windows in one bucket, and two hashes.
+
+    The hashes are None for repeated windows.  With ``part`` the blobs are a part of a bucket: windows that no smaller
+    document of the part holds follow one by one, with their hashes.
+    """
+    nothing = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), pa.nulls(0, pa.int64()), pa.nulls(0, pa.int64())
     kept: list[tuple] = []
     parts = [_unpack(b) for b in blobs]
     mini, doc = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
@@ -173,7 +186,8 @@ def repeated_windows(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nda
     sorted_doc = doc[order]
     least, most = sorted_doc[begin], sorted_doc[np.concatenate((begin[1:], [len(order)])) - 1]
     shared = np.zeros(len(mini), bool)
-    shared[order] = np.repeat(least < most, np.diff(np.concatenate((begin, [len(order)]))))
+    # a minimiser of one document in this part may be in others elsewhere
+    shared[order] = part or np.repeat(least < most, np.diff(np.concatenate((begin, [len(order)]))))
     at = 0
     for _, p_doc, p_start, p_size, raw in parts:
         some = np.flatnonzero(shared[at : at + len(p_doc)])
@@ -197,13 +211,63 @@ def repeated_windows(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nda
     first_doc = np.repeat(owner[order][begin], np.diff(np.concatenate((begin, [len(order)]))))
     repeated = np.zeros(len(window), bool)
     repeated[order] = owner[order] > first_doc
+    position = start[row] + window - words.first[row]
     at = np.flatnonzero(repeated)
-    if not len(at):
-        return nothing
-    position = start[row[at]] + window[at] - words.first[row[at]]
-    breaks = np.flatnonzero((np.diff(window[at]) != 1) | (np.diff(row[at]) != 0)) + 1
-    head, tail = np.concatenate(([0], breaks)), np.concatenate((breaks - 1, [len(at) - 1]))
-    return owner[at][head], position[head], position[tail] + WINDOW
+    found = nothing
+    if len(at):
+        breaks = np.flatnonzero((np.diff(window[at]) != 1) | (np.diff(row[at]) != 0)) + 1
+        head, tail = np.concatenate(([0], breaks)), np.concatenate((breaks - 1, [len(at) - 1]))
+        none = pa.nulls(len(head), pa.int64())
+        found = owner[at][head], position[at][head], position[at][tail] + WINDOW, none, none
+    if not part:
+        return found
+    rest = np.flatnonzero(~repeated)
+    late = [owner[rest], position[rest], position[rest] + WINDOW, one[rest].view(np.int64), two[rest].view(np.int64)]
+    return tuple(pa.concat_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())]) for a, b in zip(found, late))
+
+
+def _in_parts(blobs: list[bytes]) -> list[list[bytes]]:
+    """The blobs in lists of about PART_BYTES unpacked (one blob at least)."""
+    import zstandard
+
+    out: list[list[bytes]] = []
+    held = PART_BYTES
+    for blob in blobs:
+        if held >= PART_BYTES:
+            out.append([])
+            held = 0
+        out[-1].append(blob)
+        held += zstandard.frame_content_size(blob)
+    return out
+
+
+def _count(batches):
+    """Rows ``doc_id, start, end, one, two`` of buckets sorted by number (see ``repeated_windows``)."""
+    import zstandard
+
+    names = ["doc_id", "start", "end", "one", "two"]
+    as_batch = lambda columns: pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names)
+    open_, blobs, held, hot = None, [], 0, False
+    for batch in batches:
+        for bucket, settled, blob in zip(*(batch.column(c) for c in ("bucket", "settled", "blob"))):
+            bucket, settled, blob = bucket.as_py(), settled.as_py(), blob.as_py()
+            if bucket != open_:
+                for some in (_in_parts(blobs) if hot else [blobs] if blobs else []):
+                    yield as_batch(repeated_windows(some, hot))
+                open_, blobs, held, hot = bucket, [], 0, False
+            if settled:
+                _, doc, start, end, _ = _unpack(blob)
+                none = pa.nulls(len(doc), pa.int64())
+                yield as_batch((doc.astype(np.int64), start.astype(np.int64), end.astype(np.int64), none, none))
+                continue
+            blobs.append(blob)
+            held += zstandard.frame_content_size(blob)
+            if held >= (PART_BYTES if hot else WHOLE_BYTES):
+                for some in _in_parts(blobs):
+                    yield as_batch(repeated_windows(some, True))
+                blobs, held, hot = [], 0, True
+    for some in (_in_parts(blobs) if hot else [blobs] if blobs else []):
+        yield as_batch(repeated_windows(some, hot))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -219,26 +283,18 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             if (out := super_kmers(part, frequent, buckets, own)) is not None:
                 yield out
 
-    def count(batches):
-        open_, blobs = None, []
-        names = ["doc_id", "start", "end"]
-        for batch in batches:
-            for bucket, settled, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "settled", "blob"))):
-                if bucket != open_:
-                    if blobs:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in repeated_windows(blobs)], names)
-                    open_, blobs = bucket, []
-                if settled:
-                    _, doc, start, end, _ = _unpack(blob)
-                    yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (doc, start, end)], names)
-                else:
-                    blobs.append(blob)
-        if blobs:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in repeated_windows(blobs)], names)
-
     packed = docs.mapInArrow(pack, "bucket long, settled boolean, blob binary")
-    found = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(count, "doc_id long, start long, end long")
-    return settle(found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "repeats-spans")
+    # the session's number of partitions, which AQE merges, unless the buckets are too many for it
+    least = -(-buckets // TASK_BUCKETS)
+    many = least > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = packed.repartition(least, "bucket") if many else packed.repartition("bucket")
+    found = settle(dealt.sortWithinPartitions("bucket").mapInArrow(_count, "doc_id long, start long, end long, one long, two long"), "repeats-found")
+    # windows of buckets read in parts: the smallest document of each, then the others
+    late = found.where(F.col("one").isNotNull())
+    first = late.groupBy("one", "two").agg(F.min("doc_id").alias("first_id"))
+    again = late.join(first, ["one", "two"]).where(F.col("doc_id") > F.col("first_id"))
+    spans = found.where(F.col("one").isNull()).select("doc_id", "start", "end").unionByName(again.select("doc_id", "start", "end"))
+    return settle(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "repeats-spans")
 
 
 def strip(docs: DataFrame, spans: DataFrame) -> DataFrame:

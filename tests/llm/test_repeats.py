@@ -47,6 +47,33 @@ def test_buckets_and_frequent_runs_give_the_same(spark, groups, monkeypatch, buc
     agree(repeats.remove_repeats(spark.createDataFrame(groups, "doc_id int, text string").repartition(3)).collect(), groups)
 
 
+@pytest.mark.parametrize("whole, part", [(1, 1), (2000, 500), (30_000, 4000)])
+def test_buckets_read_in_parts_give_the_same(spark, groups, monkeypatch, whole, part):
+    """One bucket that is larger than a task may hold: its windows meet in the second shuffle."""
+    monkeypatch.setattr(repeats, "WHOLE_BYTES", whole)
+    monkeypatch.setattr(repeats, "PART_BYTES", part)
+    monkeypatch.setattr(repeats, "PACK_BYTES", 2000)
+    agree(repeats.remove_repeats(spark.createDataFrame(groups, "doc_id long, text string").repartition(4)).collect(), groups)
+
+
+def test_a_third_of_the_rows_in_one_bucket(spark, monkeypatch):
+    """A passage of a third of the documents, with its own edges in each, and more buckets than partitions."""
+    rng = np.random.default_rng(11)
+    passage = [f"p{k}" for k in range(80)]
+    docs = []
+    for k in range(600):
+        own = [f"w{j}" for j in rng.integers(0, 3000, 50)]
+        docs.append((k, " ".join(own[:20] + (passage if k % 3 == 0 else []) + own[20:])))
+    monkeypatch.setattr(repeats, "WHOLE_BYTES", 3000)
+    monkeypatch.setattr(repeats, "PART_BYTES", 1000)
+    monkeypatch.setattr(repeats, "PACK_BYTES", 5000)
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 5000)
+    monkeypatch.setattr(repeats, "TASK_BUCKETS", 2)
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    agree(repeats.remove_repeats(table).collect(), docs)
+    assert repeats.repeated_spans(table).count() == 199
+
+
 def test_odd_rows(spark, odd):
     rows = repeats.remove_repeats(odd).collect()
     assert len(rows) == odd.count()
