@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from salesmart import config, counter, functions
 from salesmart.operators import infer, ledger_base, marts
-from salesmart.operators.conform import conform, good_rows
+from salesmart.operators.conform import HEADER_LINE, conform, good_rows
 from salesmart.operators.enrich import enrich, unmatched
 from salesmart.operators.ledger import already_done, latest_state
 from salesmart.plans import job
@@ -198,7 +198,7 @@ def reject_files(spark, sf_dir):
 def bad_rows_by_column(spark, sf_dir):
     """Rows of the odd drop by folder and the columns that do not cast."""
     got = ingest(spark, _odd_drop(spark, sf_dir))
-    rows = got.conformed.select(_folder("file_location").alias("folder"), F.col("_errors").alias("errors"), "additional_column")
+    rows = got.conformed.where(F.col("_errors") != HEADER_LINE).select(_folder("file_location").alias("folder"), F.col("_errors").alias("errors"), "additional_column")
     return rows.groupBy("folder", "errors").agg(F.count(F.lit(1)).alias("n"), F.count("additional_column").alias("n_additional"))
 
 
