@@ -39,18 +39,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import Words, by_slice, gram_hashes, inside, mix, settle, slices, split_by_ids, texts
+from salesmart.llm.common import Words, by_slice, gram_hashes, inside, mix, release, settle, slices, split_by_ids, texts
 
 #: Words of a window, and of the runs among which minimisers are chosen.
 WINDOW, GRAM = 13, 3
 #: Bytes of text whose strings share a bucket (the strings are about three times as long).
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 #: Bytes of text whose strings are packed together.
 PACK_BYTES = 4 << 20
 #: Bytes of a bucket (unpacked) that a task holds at once, and of the parts in which a larger one is read.
-WHOLE_BYTES, PART_BYTES = 48 << 20, 16 << 20
+WHOLE_BYTES, PART_BYTES = 32 << 20, 8 << 20
 #: Buckets dealt to one task at most, on average.
-TASK_BUCKETS = 16
+TASK_BUCKETS = 4
 #: Cells of the frequency table; share of all runs from which a cell is frequent.
 CELL_BITS, FREQUENT = 20, 2.0**-15
 
@@ -255,6 +255,7 @@ def _count(batches):
                 for some in (_in_parts(blobs) if hot else [blobs] if blobs else []):
                     yield as_batch(repeated_windows(some, hot))
                 open_, blobs, held, hot = bucket, [], 0, False
+                release()
             if settled:
                 _, doc, start, end, _ = _unpack(blob)
                 none = pa.nulls(len(doc), pa.int64())
@@ -268,6 +269,7 @@ def _count(batches):
                 blobs, held, hot = [], 0, True
     for some in (_in_parts(blobs) if hot else [blobs] if blobs else []):
         yield as_batch(repeated_windows(some, hot))
+    release()
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -282,12 +284,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         for part in slices(batches, max_bytes=PACK_BYTES):
             if (out := super_kmers(part, frequent, buckets, own)) is not None:
                 yield out
+        release()
 
     packed = docs.mapInArrow(pack, "bucket long, settled boolean, blob binary")
-    # the session's number of partitions, which AQE merges, unless the buckets are too many for it
-    least = -(-buckets // TASK_BUCKETS)
-    many = least > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = packed.repartition(least, "bucket") if many else packed.repartition("bucket")
+    # partitions follow the buckets, whatever the session's number of them
+    parts = max(-(-buckets // TASK_BUCKETS), min(buckets, docs.sparkSession.sparkContext.defaultParallelism))
+    dealt = packed.repartition(parts, "bucket")
     found = settle(dealt.sortWithinPartitions("bucket").mapInArrow(_count, "doc_id long, start long, end long, one long, two long"), "repeats-found")
     # windows of buckets read in parts: the smallest document of each, then the others
     late = found.where(F.col("one").isNotNull())
