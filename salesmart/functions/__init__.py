@@ -8,4 +8,5 @@ from salesmart.functions.columns import (  # noqa: F401
     money,
     month_of,
     quoted,
+    variant_long,
 )

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesmart import counter, functions, synth
-from salesmart.operators import infer, ledger_base
+from salesmart.operators import conform, infer, ledger_base
 from salesmart.operators.ledger import latest_state
 from salesmart.plans.ingest import ingest
 from salesmart.schemas import MANDATORY_COLUMNS
@@ -184,3 +184,25 @@ def test_variants_keep_found_types(spark):
 
 def test_time_of_ledger_stream_timer():
     assert ledger._ms(None) is None and ledger._ms(__import__("datetime").datetime(1970, 1, 1, 0, 0, 1)) == 1_000_000 and time.time() > 0
+
+
+def test_a_filter_on_errors_parses_no_line_again(spark):
+    """The plan of the good rows splits a line as often as the plan of all rows does."""
+    lines = spark.createDataFrame(
+        [("1,121,tea,2023-03-03,1,4,2,8.50", MANDATORY_COLUMNS, [], False, "f", "f")],
+        "value string, columns array<string>, extra array<struct<name string, at int>>, is_header boolean, file_location string, file_name string",
+    )
+    rows = conform.conform_lines(lines)
+    splits = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("split(")
+    assert splits(conform.good_rows(rows)) == splits(rows) > 0
+    assert conform.good_rows(rows).count() == 1
+
+
+def test_variant_long_casts_what_casts(spark):
+    """Strings with a letter are not tried; everything else casts as before."""
+    texts = ["5", " 5 ", "+5", "007", "q31", "1e3", "2.5", "true", "null", ".", "", '"12"', '"12a"', "[1]", "٣", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(functions.columns.variant_of(F.col("t")).alias("v"))
+    got = rows.select(functions.variant_long("v").alias("a"), F.try_variant_get("v", "$", "bigint").alias("b")).collect()
+    assert [r["a"] for r in got] == [r["b"] for r in got]
+    plan = rows.select(functions.variant_long("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in plan
