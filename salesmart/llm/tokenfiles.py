@@ -21,6 +21,7 @@ from __future__ import annotations
 import io
 import uuid
 import zlib
+from array import array
 from hashlib import blake2b
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.config import shared_path
-from salesmart.llm.common import mix, settle, slices, texts
+from salesmart.llm.common import mix, release, settle, slices, texts
 from salesmart.llm.tokens import encoder, with_end
 
 MAGIC = b"TOKSHRD1"
@@ -38,6 +39,8 @@ MAGIC = b"TOKSHRD1"
 GAMMA, LEVELS = 2, 32
 #: Ids that one read of the payload takes at most (a longer record is read alone).
 SPAN = 1 << 20
+#: Bytes of text that are encoded together.
+ENCODED_BYTES = 1 << 20
 
 
 def key_hashes(keys: list) -> np.ndarray:
@@ -168,12 +171,12 @@ def write(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 2, width: int
         name = f"shard-{context.partitionId():07d}"
         mine = f"{root}/.{name}-{context.taskAttemptId()}-{uuid.uuid4().hex}"
         encode = encoder(tokenizer)
-        lengths, keys, repeats = [], [], []
+        lengths, keys, repeats = array("q"), [], array("q")
         with files.open_output_stream(f"{mine}.ids") as payload:
-            for part in slices(batches, max_bytes=4 << 20):
+            for part in slices(batches, max_bytes=ENCODED_BYTES):
                 ids, counts = with_end(*encode.ids(part.column("text")), end_id)
                 payload.write(ids.astype(f"<u{width}").tobytes())
-                lengths += counts.tolist()
+                lengths.frombytes(counts.astype(np.int64).tobytes())
                 for key in part.column("doc_id").to_pylist():
                     if keys and key == keys[-1]:
                         repeats[-1] += 1
@@ -182,6 +185,7 @@ def write(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 2, width: int
                         repeats.append(1)
         if not keys:
             files.delete_file(f"{mine}.ids")
+            release(keep=True)
             return
         count = np.array(repeats, np.int64)
         offsets = np.concatenate(([0], np.cumsum(np.array(lengths, np.int64))))
@@ -195,6 +199,7 @@ def write(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 2, width: int
             [pa.array([name]), pa.array([real[0] if real else None], key_type), pa.array([len(real) < len(keys)]), pa.array([len(lengths)], pa.int64()), pa.array([int(offsets[-1])], pa.int64())],
             ["shard", "first_key", "has_null", "records", "ids"],
         )
+        release(keep=True)
 
     # one id may have any share of the rows: its rows are parted by their texts
     spread = F.xxhash64("text")
@@ -264,6 +269,9 @@ def read(keys: DataFrame, uri: str, manifest: DataFrame, tokens: bool = True) ->
                     parts = [coded[4 * (a - lo) : 4 * (b - lo)] for a, b in zip(start[rows].tolist(), stop[rows].tolist())]
                     out = [some.take(pa.array(which[rows])), pa.array(start[rows] + shards[shard][3]), pa.array((stop - start)[rows]), pa.array([zlib.crc32(x) for x in parts], pa.int64())]
                     yield pa.RecordBatch.from_arrays(out + [pa.array([bytes(x) for x in parts], pa.binary())] * tokens, ["doc_id", "start", "n_tokens", "ids_crc32"] + ["ids"] * tokens)
+        # reading needs no tokenizer: what the workers kept of the writing goes too
+        opened = index = payload = None
+        release()
 
     routed = keys.select("doc_id").distinct().mapInArrow(route, f"doc_id {kind}, shard long")
     # a number of partitions of its own: keys are small, the payload they stand for is not
