@@ -138,15 +138,21 @@ class Network:
 
     def step(self, code: np.ndarray, h: np.ndarray) -> tuple:
         g = self.x[code]
-        a = g[:, : 2 * STATE] + h @ self.u
+        a = h @ self.u
+        a += g[:, : 2 * STATE]
         np.negative(a, out=a)
         np.exp(a, out=a)
         a += 1
         np.reciprocal(a, out=a)
         z, r = a[:, :STATE], a[:, STATE:]
         rh = r * h
-        c = np.tanh(g[:, 2 * STATE :] + rh @ self.c)
-        return h + z * (c - h), z, r, rh, c
+        c = rh @ self.c
+        c += g[:, 2 * STATE :]
+        np.tanh(c, out=c)
+        new = c - h
+        new *= z
+        new += h
+        return new, z, r, rh, c
 
     def outputs(self, h: np.ndarray, kind: np.ndarray, member: np.ndarray, grad: Network | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probability of each class and head member; with ``grad``, the loss's slope by ``h`` and its weights."""
@@ -187,37 +193,48 @@ class Network:
     def window(self, code: np.ndarray, fresh: np.ndarray, kind: np.ndarray, member: np.ndarray, h: np.ndarray, real: np.ndarray | None = None) -> tuple[float, np.ndarray, Network]:
         """Loss, last state and slopes over a window (lanes x steps); ``fresh`` steps start from an empty state, those not ``real`` only pad a lane's end."""
         lanes, steps = code.shape
-        grad, held, states = Network.empty(self.flat.dtype), [], []
+        grad, kind_of = Network.empty(self.flat.dtype), self.flat.dtype
+        # all steps of the window, one after the other: what needs no neighbour in time is computed at once
+        before, z, r, rh, c, after = np.empty((6, steps, lanes, STATE), kind_of)
+        cut = fresh.any(axis=0)
         for t in range(steps):
-            h = h * ~fresh[:, t, None]
-            new, z, r, rh, c = self.step(code[:, t], h)
-            held.append((h, z, r, rh, c))
-            states.append(new)
-            h = new
-        after = np.concatenate(states)
+            if cut[t]:
+                h = h * ~fresh[:, t, None]
+            before[t] = h
+            h, z[t], r[t], rh[t], c[t] = self.step(code[:, t], h)
+            after[t] = h
+        flat = after.reshape(-1, STATE)
         if real is None:
-            log, slope = self.outputs(after, kind.T.ravel(), member.T.ravel(), grad)
+            log, slope = self.outputs(flat, kind.T.ravel(), member.T.ravel(), grad)
         else:
-            some, slope = real.T.ravel(), np.zeros_like(after)
-            log, slope[some] = self.outputs(after[some], kind.T.ravel()[some], member.T.ravel()[some], grad)
+            some, slope = real.T.ravel(), np.zeros_like(flat)
+            log, slope[some] = self.outputs(flat[some], kind.T.ravel()[some], member.T.ravel()[some], grad)
+        slope = slope.reshape(steps, lanes, STATE)
+        kept = 1 - z
+        by_c, by_z, by_r = z * (1 - c * c), (c - before) * z * kept, before * r * (1 - r)
         back = np.zeros_like(h)
-        slopes_x = np.empty((steps, lanes, 3 * STATE), self.flat.dtype)
+        slopes_x = np.empty((steps, lanes, 3 * STATE), kind_of)
+        u, w = np.ascontiguousarray(self.u.T), np.ascontiguousarray(self.c.T)
         for t in reversed(range(steps)):
-            before, z, r, rh, c = held[t]
-            back = back + slope[t * lanes : (t + 1) * lanes]
-            d_c = back * z * (1 - c * c)
-            d_z = back * (c - before) * z * (1 - z)
-            d_rh = d_c @ self.c.T
-            d_r = d_rh * before * r * (1 - r)
-            d_a = np.concatenate((d_z, d_r), axis=1)
-            grad.c += rh.T @ d_c
-            grad.u += before.T @ d_a
-            slopes_x[t, :, : 2 * STATE], slopes_x[t, :, 2 * STATE :] = d_a, d_c
-            back = (back * (1 - z) + d_rh * r + d_a @ self.u.T) * ~fresh[:, t, None]
+            d_a, d_c = slopes_x[t, :, : 2 * STATE], slopes_x[t, :, 2 * STATE :]
+            back += slope[t]
+            np.multiply(back, by_c[t], out=d_c)
+            np.multiply(back, by_z[t], out=d_a[:, :STATE])
+            d_rh = d_c @ w
+            np.multiply(d_rh, by_r[t], out=d_a[:, STATE:])
+            back *= kept[t]
+            d_rh *= r[t]
+            back += d_rh
+            back += d_a @ u
+            if cut[t]:
+                back *= ~fresh[:, t, None]
+        every = slopes_x.reshape(-1, 3 * STATE)
+        grad.c += rh.reshape(-1, STATE).T @ every[:, 2 * STATE :]
+        grad.u += before.reshape(-1, STATE).T @ every[:, : 2 * STATE]
         codes = code.T.ravel()
         order = np.argsort(codes, kind="stable")
         first = np.flatnonzero(np.concatenate(([True], np.diff(codes[order]) != 0)))
-        grad.x[codes[order][first]] = np.add.reduceat(slopes_x.reshape(-1, 3 * STATE)[order], first, axis=0)
+        grad.x[codes[order][first]] = np.add.reduceat(every[order], first, axis=0)
         return -float(log.sum()), h, grad
 
 
