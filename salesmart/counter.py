@@ -11,12 +11,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.config import shared_path
-from salesmart.operators.joins import join_dimension
+from salesmart.operators.joins import fits_broadcast, join_dimension
 from salesmart.schemas import MONEY
 
 #: Modulus and multipliers; every product stays below 2^63.
 PRIME, A, B, C, D = 2_147_483_647, 48_271, 69_621, 16_807, 40_692
 
+#: Rows of a task of a join whose dimension is too large to broadcast, about; the first key's rows are dealt into parts of this size.
+TASK_ROWS = 1 << 19
+
 
 def mixed(row: Column, seed: int, stream: int) -> Column:
     """A number from 0 to PRIME - 1 for the row, the seed and the stream (one for each column)."""
@@ -44,6 +47,20 @@ def placed(df: DataFrame, key: str) -> DataFrame:
     return rows.join(offset, "_part").withColumn("place", F.col("_ahead") + F.col("_row")).drop("_id", "_part", "_row", "_ahead")
 
 
+def _join_placed(base: DataFrame, side: DataFrame, place: str, rows: int, hot_permille: int) -> DataFrame:
+    """``base`` and the dimension row of its ``place``.  Where both are shuffled, tasks follow the rows, and the rows
+    of the first key are dealt into parts, each with a copy of that key's one row.  The join is a
+    merge join: a hash table of the dimension, as of its compressed size, would grow with it."""
+    if fits_broadcast(side):
+        return join_dimension(base, side, place)
+    parts = -(-rows * hot_permille // 1000 // TASK_ROWS) or 1
+    tasks = max(int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
+    dealt = base.withColumn("_deal", F.when(F.col(place) == 0, F.col("row_id") % parts).otherwise(0))
+    copies = F.when(F.col(place) == 0, F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    side = side.withColumn("_deal", F.explode(copies))
+    return dealt.repartition(tasks, place, "_deal").join(side.hint("merge"), [place, "_deal"]).drop("_deal")
+
+
 def counted_sales(
     spark: SparkSession, rows: int, seed: int, customer: DataFrame, team: DataFrame, product: DataFrame, hot_permille: int = 0, partitions: int | None = None, first_day: str = "2023-01-01", days: int = 365
 ) -> DataFrame:
@@ -74,7 +91,7 @@ def counted_sales(
         (placed(product.select("product_id", "product_name", "price"), "product_id"), "p_place"),
     )
     for side, place in sides:
-        base = join_dimension(base, side.withColumnRenamed("place", place), place)
+        base = _join_placed(base, side.withColumnRenamed("place", place), place, rows, hot_permille if place != "p_place" else 0)
     return base.select(
         "row_id", "customer_id", "store_id", "product_name", "sales_date", "sales_person_id", F.col("price").cast(MONEY).alias("price"), "quantity",
         (F.col("price") * F.col("quantity")).cast(MONEY).alias("total_cost"),
