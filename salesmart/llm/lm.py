@@ -48,6 +48,9 @@ LEAST_UPDATE, WAITING = BATCH * BACK // 2, 1 << 20
 #: Rounds of averaging.
 ROUNDS = 3
 RATE, SEED = 0.01, 20252
+#: Bits of a hash that name its slot; no word is looked for but in its slot, or else among all.
+SLOT_BITS = 20
+SLOT_SHIFT = np.uint64(64 - SLOT_BITS)
 #: Bytes of text that are scored together; values of a chunk of weights.
 SCORE_BYTES, CHUNK = 12 << 20, 4096
 END = np.uint64(0x3C6EF372FE94F82B)
@@ -72,6 +75,7 @@ class Vocabulary:
     distinct: int
     log_within: np.ndarray = field(default=None)  # by rank, natural log of the share of the class
     rare_mass: int = 0
+    slots: np.ndarray = field(default=None)  # place in ``words`` by a hash's first bits
 
     @classmethod
     def of(cls, hashes: np.ndarray, count: np.ndarray, total: int, distinct: int) -> Vocabulary:
@@ -88,8 +92,19 @@ class Vocabulary:
         """Rank of each word; -1 for rare ones."""
         if not len(self.words):
             return np.full(len(hashes), -1)
-        at = np.searchsorted(self.words, hashes)
-        at[at == len(self.words)] = 0
+        if self.slots is None:
+            # the commonest word of each slot; made by the task, so that it does not travel
+            self.slots = np.zeros(1 << SLOT_BITS, np.int32)
+            places = np.empty(len(self.words), np.int32)
+            places[self.rank] = np.arange(len(self.words), dtype=np.int32)
+            places = places[::-1]
+            self.slots[self.words[places] >> SLOT_SHIFT] = places
+        at = self.slots[hashes >> SLOT_SHIFT].astype(np.int64)
+        # words that share their slot with a commoner one, and rare ones
+        other = np.flatnonzero(self.words[at] != hashes)
+        place = np.searchsorted(self.words, hashes[other])
+        place[place == len(self.words)] = 0
+        at[other] = place
         return np.where(self.words[at] == hashes, self.rank[at], -1)
 
     @staticmethod
@@ -156,38 +171,49 @@ class Network:
 
     def outputs(self, h: np.ndarray, kind: np.ndarray, member: np.ndarray, grad: Network | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probability of each class and head member; with ``grad``, the loss's slope by ``h`` and its weights."""
-        logit = h @ self.o + self.ob
-        logit -= logit.max(axis=1, keepdims=True)
-        p = np.exp(logit)
-        norm = p.sum(axis=1)
-        rows = np.arange(len(h))
-        out = (logit[rows, kind] - np.log(norm)).astype(np.float64)
+        # classes run along the first axis: what is summed over them are whole rows of memory
+        wide, rows = np.ascontiguousarray(h.T), np.arange(len(h))
+        p = self.o.T @ wide
+        p += self.ob[:, None]
+        p -= p.max(axis=0)
+        own = p[kind, rows]
+        np.exp(p, out=p)
+        norm = p.sum(axis=0)
+        out = (own - np.log(norm)).astype(np.float64)
         slope = None
         if grad is not None:
-            p /= norm[:, None]
-            p[rows, kind] -= 1
-            grad.o += h.T @ p
-            grad.ob += p.sum(axis=0)
-            slope = p @ self.o.T
-        order = np.argsort(kind, kind="stable")
+            p /= norm
+            p[kind, rows] -= 1
+            grad.o += wide @ p.T
+            grad.ob += p.sum(axis=1)
+            slope = p.T @ self.o.T
+        # OUTPUTS is small: 16 bits are sorted by digits
+        order = np.argsort(kind.astype(np.int16), kind="stable")
         edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        order = order[: edges[CLASSES]]
+        head, of, within = h[order], member[order], np.empty(len(order))
+        back = None if grad is None else np.empty_like(head)
         for k in range(CLASSES):
-            some = order[edges[k] : edges[k + 1]]
-            if not len(some):
+            a, b = edges[k], edges[k + 1]
+            if a == b:
                 continue
-            part = h[some]
-            logit = part @ self.m[k] + self.mb[k]
-            logit -= logit.max(axis=1, keepdims=True)
-            p = np.exp(logit)
-            norm = p.sum(axis=1)
-            own = np.arange(len(some))
-            out[some] += logit[own, member[some]] - np.log(norm)
+            part, own = head[a:b], (of[a:b], rows[: b - a])
+            p = self.m[k].T @ part.T
+            p += self.mb[k][:, None]
+            p -= p.max(axis=0)
+            mine = p[own]
+            np.exp(p, out=p)
+            norm = p.sum(axis=0)
+            within[a:b] = mine - np.log(norm)
             if grad is not None:
-                p /= norm[:, None]
-                p[own, member[some]] -= 1
-                grad.m[k] += part.T @ p
-                grad.mb[k] += p.sum(axis=0)
-                slope[some] += p @ self.m[k].T
+                p /= norm
+                p[own] -= 1
+                grad.m[k] += (p @ part).T
+                grad.mb[k] += p.sum(axis=1)
+                back[a:b] = p.T @ self.m[k].T
+        out[order] += within
+        if grad is not None:
+            slope[order] += back
         return out, slope
 
     def window(self, code: np.ndarray, fresh: np.ndarray, kind: np.ndarray, member: np.ndarray, h: np.ndarray, real: np.ndarray | None = None) -> tuple[float, np.ndarray, Network]:

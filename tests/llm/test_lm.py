@@ -164,3 +164,38 @@ def test_padding_does_not_teach():
     loss, _, grad = net.window(code, fresh, kind, member, h, real)
     parts = [net.window(*(x[k : k + 1, :n] for x in (code, fresh, kind, member)), h[k : k + 1]) for k, n in ((0, 6), (1, 2))]
     assert np.isclose(loss, sum(p[0] for p in parts)) and np.allclose(grad.flat, sum(p[2].flat for p in parts))
+
+
+def test_words_are_looked_for_in_their_slot_and_those_that_share_one_among_all(monkeypatch):
+    base = np.uint64(7) << lm.SLOT_SHIFT
+    words = np.array([base + np.uint64(k) for k in (5, 1, 9)] + [np.uint64(k) << lm.SLOT_SHIFT for k in range(8, 108)], np.uint64)
+    v = lm.Vocabulary.of(words, np.arange(len(words), 0, -1).astype(np.int64), 6000, len(words) + 2)
+    asked, plain = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, x, *more, **named: asked.append(np.size(x)) or plain(a, x, *more, **named))
+    tokens = np.concatenate((words, words, [base + np.uint64(2), np.uint64(2**64 - 1)])).astype(np.uint64)
+    assert v.ranks(tokens).tolist() == [*range(len(words)), *range(len(words)), -1, -1]
+    assert sum(asked) == 6  # two words in a taken slot, twice, and two rare ones
+
+
+def test_outputs_are_plain_softmaxes_and_their_slopes():
+    rng, n = np.random.default_rng(3), 40
+    net = lm.Network(rng.normal(0, 0.3, lm.Network.empty().flat.size))
+    h, kind, member = rng.normal(size=(n, lm.STATE)), rng.integers(0, lm.OUTPUTS, n), rng.integers(0, lm.MEMBERS, n)
+    grad = lm.Network.empty(np.float64)
+    out, slope = net.outputs(h, kind, member, grad)
+
+    def log(h, k, m):
+        soft = lambda x: x - np.log(np.exp(x).sum())
+        return soft(h @ net.o + net.ob)[k] + (soft(h @ net.m[k] + net.mb[k])[m] if k < lm.CLASSES else 0)
+
+    assert np.allclose(out, [log(*row) for row in zip(h, kind, member)])
+    step = 1e-6 * np.eye(lm.STATE)
+    assert np.allclose(slope[:5], [[-(log(h[i] + s, kind[i], member[i]) - log(h[i] - s, kind[i], member[i])) / 2e-6 for s in step] for i in range(5)], atol=1e-5)
+    for name, at in (("o", (3, 2)), ("ob", (1,)), ("m", (kind[kind < lm.CLASSES][0], 4, 6)), ("mb", (kind[kind < lm.CLASSES][0], 6))):
+        w, had = getattr(net, name), getattr(net, name)[at]
+        sums = []
+        for d in (1e-6, -1e-6):
+            w[at] = had + d
+            sums.append(-sum(log(*row) for row in zip(h, kind, member)))
+        w[at] = had
+        assert np.isclose(getattr(grad, name)[at], (sums[0] - sums[1]) / 2e-6, atol=1e-5)
