@@ -174,6 +174,21 @@ def test_counters_do_not_depend_on_partitions(spark):
     assert sum(tuple(a) == b for a, b in zip(sorted(other), runs[0])) < 100
 
 
+def test_the_first_key_of_a_shuffled_dimension_is_dealt_over_tasks(spark, monkeypatch):
+    customer, team = spark.range(50, 250).toDF("customer_id"), spark.range(9).selectExpr("id", "CAST(id % 3 AS INT) AS store_id")
+    product = synth.product_dim(spark).selectExpr("id AS product_id", "name AS product_name", "current_price AS price")
+    made = lambda: counter.counted_sales(spark, 4000, 3, customer, team, product, 300)
+    want = sorted(map(tuple, made().collect()))
+    monkeypatch.setattr(counter, "TASK_ROWS", 100, raising=False)
+    spark.conf.set("salesmart.broadcast.maxRows", "20")
+    try:
+        rows = made()
+        assert sorted(map(tuple, rows.collect())) == want
+        assert rows.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 600
+    finally:
+        spark.conf.unset("salesmart.broadcast.maxRows")
+
+
 def test_variants_keep_found_types(spark):
     rows = spark.createDataFrame([("1", "x", None), ("2.5", "true", '{"a":1}'), (None, "", "[1,2]")], "`a.b` string, c string, `d e` string")
     got = rows.select(functions.fold_variant(rows.columns).alias("v"), functions.fold_variant([]).alias("none"))
