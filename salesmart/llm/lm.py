@@ -151,23 +151,33 @@ class Network:
         net.mb[:] = members.reshape(CLASSES, MEMBERS)
         return net
 
-    def step(self, code: np.ndarray, h: np.ndarray) -> tuple:
-        g = self.x[code]
-        a = h @ self.u
-        a += g[:, : 2 * STATE]
-        np.negative(a, out=a)
+    def gates(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The recurrent weights gate by gate, so that a step's arrays have no gaps; those of the two sigmoids negated."""
+        x = np.ascontiguousarray(self.x.reshape(-1, 3, STATE).transpose(1, 0, 2))
+        np.negative(x[:2], out=x[:2])
+        return x, -np.ascontiguousarray(self.u.reshape(STATE, 2, STATE).transpose(1, 0, 2)), self.c
+
+    @staticmethod
+    def turn(g: np.ndarray, h: np.ndarray, u: np.ndarray, w: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+        """The next state; ``g`` holds the seen words' rows of each gate and then the gates."""
+        a, c = g[:2], g[2]
+        a += h @ u
         np.exp(a, out=a)
         a += 1
         np.reciprocal(a, out=a)
-        z, r = a[:, :STATE], a[:, STATE:]
-        rh = r * h
-        c = rh @ self.c
-        c += g[:, 2 * STATE :]
+        z, r = a
+        c += (r * h) @ w
         np.tanh(c, out=c)
-        new = c - h
+        new = np.subtract(c, h, out=out)
         new *= z
         new += h
-        return new, z, r, rh, c
+        return new
+
+    def step(self, code: np.ndarray, h: np.ndarray, gates: tuple | None = None) -> tuple:
+        """The next state and the gates; ``gates`` as from ``gates()`` where many steps are taken."""
+        x, u, w = gates or self.gates()
+        g = np.take(x, code, axis=1, mode="clip")
+        return self.turn(g, h, u, w), *g
 
     def outputs(self, h: np.ndarray, kind: np.ndarray, member: np.ndarray, grad: Network | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probability of each class and head member; with ``grad``, the loss's slope by ``h`` and its weights."""
@@ -191,77 +201,104 @@ class Network:
         order = np.argsort(kind.astype(np.int16), kind="stable")
         edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
         order = order[: edges[CLASSES]]
-        head, of, within = h[order], member[order], np.empty(len(order))
-        back = None if grad is None else np.empty_like(head)
-        for k in range(CLASSES):
-            a, b = edges[k], edges[k + 1]
-            if a == b:
-                continue
-            part, own = head[a:b], (of[a:b], rows[: b - a])
-            p = self.m[k].T @ part.T
-            p += self.mb[k][:, None]
-            p -= p.max(axis=0)
-            mine = p[own]
-            np.exp(p, out=p)
-            norm = p.sum(axis=0)
-            within[a:b] = mine - np.log(norm)
-            if grad is not None:
-                p /= norm
-                p[own] -= 1
-                grad.m[k] += (p @ part).T
-                grad.mb[k] += p.sum(axis=1)
-                back[a:b] = p.T @ self.m[k].T
-        out[order] += within
+        if not len(order):
+            return out, slope
+        # only the products are made class by class
+        head, own = np.take(h, order, axis=0), (rows[: len(order)], member[order])
+        p = np.empty((len(order), MEMBERS), np.result_type(h, self.m))
+        some = [(k, slice(a, b)) for k, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if a < b]
+        for k, part in some:
+            np.matmul(head[part], self.m[k], out=p[part])
+            p[part] += self.mb[k]
+        p -= p.max(axis=1, keepdims=True)
+        mine = p[own]
+        np.exp(p, out=p)
+        norm = p.sum(axis=1)
+        out[order] += mine - np.log(norm)
         if grad is not None:
+            p /= norm[:, None]
+            p[own] -= 1
+            back = np.empty_like(head)
+            for k, part in some:
+                grad.m[k] += head[part].T @ p[part]
+                grad.mb[k] += p[part].sum(axis=0)
+                np.matmul(p[part], self.m[k].T, out=back[part])
             slope[order] += back
         return out, slope
 
     def window(self, code: np.ndarray, fresh: np.ndarray, kind: np.ndarray, member: np.ndarray, h: np.ndarray, real: np.ndarray | None = None) -> tuple[float, np.ndarray, Network]:
-        """Loss, last state and slopes over a window (lanes x steps); ``fresh`` steps start from an empty state, those not ``real`` only pad a lane's end."""
-        lanes, steps = code.shape
-        grad, kind_of = Network.empty(self.flat.dtype), self.flat.dtype
-        # all steps of the window, one after the other: what needs no neighbour in time is computed at once
-        before, z, r, rh, c, after = np.empty((6, steps, lanes, STATE), kind_of)
-        cut = fresh.any(axis=0)
-        for t in range(steps):
-            if cut[t]:
-                h = h * ~fresh[:, t, None]
-            before[t] = h
-            h, z[t], r[t], rh[t], c[t] = self.step(code[:, t], h)
-            after[t] = h
+        """Loss, last state and slopes over a window (lanes x steps); ``fresh`` steps start from an empty state, those not ``real`` only pad a lane's end.
+
+        Steps beyond BACK are further windows: the state goes on, slopes do not go back.
+        """
+        (lanes, steps), kind_of = code.shape, self.flat.dtype
+        grad = Network.empty(kind_of)
+        span = min(steps, BACK)
+        parts = steps // span
+        # steps of all windows side by side, one after the other: what needs no neighbour in time is computed at once
+        turned = lambda a: np.ascontiguousarray(a.reshape(lanes, parts, span).transpose(2, 1, 0))
+        code, kind, member, fresh = (turned(a) for a in (code, kind, member, fresh))
+        x, u, w = self.gates()
+        zrc = np.take(x, code, axis=1, mode="clip")
+        before, after = np.empty((2, span, parts, lanes, STATE), kind_of)
+        before[0, 0] = h
+        cut = fresh.any(axis=2)
+        for k in range(parts):
+            for t, any_fresh in enumerate(cut[:, k].tolist()):
+                if any_fresh:
+                    h = h * ~fresh[t, k, :, None]
+                h = self.turn(zrc[:, t, k], h, u, w, after[t, k])
+        before[0, 1:], before[1:] = after[-1, :-1], after[:-1]
+        before[fresh] = 0
+        rh = zrc[1] * before
         flat = after.reshape(-1, STATE)
         if real is None:
-            log, slope = self.outputs(flat, kind.T.ravel(), member.T.ravel(), grad)
+            log, slope = self.outputs(flat, kind.ravel(), member.ravel(), grad)
         else:
-            some, slope = real.T.ravel(), np.zeros_like(flat)
-            log, slope[some] = self.outputs(flat[some], kind.T.ravel()[some], member.T.ravel()[some], grad)
-        slope = slope.reshape(steps, lanes, STATE)
-        kept = 1 - z
-        by_c, by_z, by_r = z * (1 - c * c), (c - before) * z * kept, before * r * (1 - r)
-        back = np.zeros_like(h)
-        slopes_x = np.empty((steps, lanes, 3 * STATE), kind_of)
+            some, slope = turned(real).ravel(), np.zeros_like(flat)
+            log, slope[some] = self.outputs(flat[some], kind.ravel()[some], member.ravel()[some], grad)
+        z, r, c, before, rh, slope = (a.reshape(span, -1, STATE) for a in (*zrc, before, rh, slope))
+        fresh, cut = fresh.reshape(span, -1), cut.any(axis=1)
+        back = np.zeros_like(before[0])
+        slopes_x = np.empty((span, parts * lanes, 3 * STATE), kind_of)
         u, w = np.ascontiguousarray(self.u.T), np.ascontiguousarray(self.c.T)
-        for t in reversed(range(steps)):
+        for t in reversed(range(span)):
             d_a, d_c = slopes_x[t, :, : 2 * STATE], slopes_x[t, :, 2 * STATE :]
             back += slope[t]
-            np.multiply(back, by_c[t], out=d_c)
-            np.multiply(back, by_z[t], out=d_a[:, :STATE])
+            kept = 1 - z[t]
+            by = c[t] * c[t]
+            np.subtract(1, by, out=by)
+            by *= z[t]
+            np.multiply(back, by, out=d_c)
+            np.subtract(c[t], before[t], out=by)
+            by *= z[t]
+            by *= kept
+            np.multiply(back, by, out=d_a[:, :STATE])
             d_rh = d_c @ w
-            np.multiply(d_rh, by_r[t], out=d_a[:, STATE:])
-            back *= kept[t]
+            np.subtract(1, r[t], out=by)
+            by *= rh[t]
+            np.multiply(d_rh, by, out=d_a[:, STATE:])
+            back *= kept
             d_rh *= r[t]
             back += d_rh
             back += d_a @ u
             if cut[t]:
-                back *= ~fresh[:, t, None]
+                back *= ~fresh[t, :, None]
         every = slopes_x.reshape(-1, 3 * STATE)
         grad.c += rh.reshape(-1, STATE).T @ every[:, 2 * STATE :]
         grad.u += before.reshape(-1, STATE).T @ every[:, : 2 * STATE]
-        codes = code.T.ravel()
-        order = np.argsort(codes, kind="stable")
-        first = np.flatnonzero(np.concatenate(([True], np.diff(codes[order]) != 0)))
-        grad.x[codes[order][first]] = np.add.reduceat(every[order], first, axis=0)
-        return -float(log.sum()), h, grad
+        add_rows(grad.x, code.ravel(), every)
+        return -float(log.sum()), np.array(h), grad
+
+
+def add_rows(to: np.ndarray, code: np.ndarray, rows: np.ndarray) -> None:
+    """Add each row to the row of ``to`` that its code names."""
+    order = np.argsort(code.astype(np.int16), kind="stable")
+    codes = code[order]
+    first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+    # two neighbouring columns as one complex number: half as many sums
+    pairs = np.take(rows, order, axis=0).view(np.result_type(rows, np.complex64))
+    to[codes[first]] += np.add.reduceat(pairs, first, axis=0).view(rows.dtype)
 
 
 class Adam:
@@ -272,8 +309,12 @@ class Adam:
         self.t += 1
         self.one += 0.1 * (slope - self.one)
         self.two += 0.01 * (slope * slope - self.two)
-        rate = RATE * np.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t)
-        self.net.flat -= (rate * self.one / (np.sqrt(self.two) + 1e-8)).astype(self.net.flat.dtype)
+        rate = RATE * (1 - 0.99**self.t) ** 0.5 / (1 - 0.9**self.t)
+        by = np.sqrt(self.two)
+        by += 1e-8
+        np.divide(self.one, by, out=by)
+        by *= rate
+        self.net.flat -= by
 
 
 def _stream(words: Words, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -361,15 +402,20 @@ class Lanes:
     def finish(self) -> None:
         """What still waits; the last window of a lane is padded."""
         while len(some := np.flatnonzero(self.left)):
-            self.window(some)
+            # windows that no update parts are taken together, while half of the lanes go on
+            left, turns = self.left[some], 1
+            while self.tokens + np.minimum(left, turns * BACK).sum() < LEAST_UPDATE and 2 * np.count_nonzero(left > turns * BACK) >= len(some):
+                turns += 1
+            self.window(some, turns)
         if self.tokens:
             self.update()
 
-    def window(self, some: np.ndarray) -> None:
-        rows, n = np.zeros((len(some), BACK, 4), np.int16), np.minimum(self.left[some], BACK)
+    def window(self, some: np.ndarray, turns: int = 1) -> None:
+        steps = turns * BACK
+        rows, n = np.zeros((len(some), steps, 4), np.int16), np.minimum(self.left[some], steps)
         for row, (k, a, m) in enumerate(zip(some.tolist(), self.at[some].tolist(), n.tolist())):
             rows[row, :m] = self.held[k][a : a + m]
-        real = None if n.min() == BACK else np.arange(BACK) < n[:, None]
+        real = None if n.min() == steps else np.arange(steps) < n[:, None]
         code, fresh, kind, member = (rows[:, :, k].astype(np.int64) for k in range(4))
         _, self.h[some], grad = self.net.window(code, fresh.astype(bool), kind, member, self.h[some], real)
         self.at[some] += n
@@ -443,12 +489,12 @@ def score_slice(words: Words, v: Vocabulary, net: Network) -> tuple[np.ndarray,
         out[:] += np.bincount(np.concatenate(owners), log, len(out))
 
     alive = len(order)
-    rows = np.arange(len(order))
+    rows, gates = np.arange(len(order)), net.gates()
     for t in range(int(length[0]) if len(length) else 0):
         while length[alive - 1] <= t:
             alive -= 1
         where = begin[:alive] + t
-        h = net.step(code[where], h[:alive])[0]
+        h = net.step(code[where], h[:alive], gates)[0]
         waiting.append(h)
         owners.append(rows[:alive])
         at.append(where)
