@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 
 from brute import LOWER, WORD
-from salesmart.llm.common import Words, gram_hashes, inside, slices
+from salesmart.llm.common import Words, gram_hashes, inside, mix, slices, word_hashes
 
 TEXTS = ["", None, " a  b\tc\n", "A é|ß x\x0b\x0c\r\n\x1c y", "x" * 200 + " " + "x" * 201, "one", "two three", "\n\n", "tail ", "日本 語", "x" * 64, "x" * 65]
 
@@ -39,3 +39,24 @@ def test_slices_hold_every_row_once():
     parts = list(slices([batch, batch.slice(0, 0)], "text", 100))
     assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
     assert max(p.num_rows for p in parts) < 8
+
+
+def test_hashes_are_the_polynomial_in_any_order():
+    rng, M, all_bits = np.random.default_rng(0), 0x9E3779B97F4A7C15, (1 << 64) - 1
+    data = rng.integers(0, 256, 150_000).astype(np.uint8)
+    start = np.sort(rng.integers(0, 100_000, 400))
+    length = rng.integers(1, 70, 400)
+    length[::50] = 300
+    length[7] = 40_000
+
+    def plain(a, n):
+        total = 0
+        for k, byte in enumerate(data[a : a + n].tolist()):
+            total += (byte + 1) * pow(M, k & 63, 1 << 64) * ((k >> 6) * 0xD1342543DE82EF94 + 1)
+        return (total & all_bits) ^ (int(n) << 48)
+
+    want = mix(np.array([plain(a, n) for a, n in zip(start, length)], np.uint64))
+    assert (word_hashes(data, start, start + length) == want).all()
+    order = rng.permutation(400)
+    assert (word_hashes(data, start[order], (start + length)[order]) == want[order]).all()
+    assert (word_hashes(data, np.array([149_999]), np.array([150_000])) == mix(np.array([plain(149_999, 1)], np.uint64))).all()

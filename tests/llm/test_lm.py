@@ -199,3 +199,52 @@ def test_outputs_are_plain_softmaxes_and_their_slopes():
             sums.append(-sum(log(*row) for row in zip(h, kind, member)))
         w[at] = had
         assert np.isclose(getattr(grad, name)[at], (sums[0] - sums[1]) / 2e-6, atol=1e-5)
+
+
+def test_steps_beyond_one_window_are_windows_in_succession():
+    rng, n = np.random.default_rng(5), 3 * lm.BACK
+    net = lm.Network.empty(np.float64)
+    net.flat[:] = rng.normal(0, 0.3, len(net.flat))
+    code, fresh = rng.integers(0, lm.CODES + 1, (2, n)), rng.random((2, n)) < 0.03
+    kind, member = rng.integers(0, lm.OUTPUTS, (2, n)), rng.integers(0, lm.MEMBERS, (2, n))
+    h, real = rng.normal(size=(2, lm.STATE)), np.arange(n) < np.array([n, n - 40])[:, None]
+    loss, last, grad = net.window(code, fresh, kind, member, h, real)
+    state, losses, slopes = h, 0.0, np.zeros_like(net.flat)
+    for a in range(0, n, lm.BACK):
+        part = slice(a, a + lm.BACK)
+        one, state, own = net.window(*(x[:, part] for x in (code, fresh, kind, member)), state, real[:, part])
+        losses, slopes = losses + one, slopes + own.flat
+    assert np.isclose(loss, losses) and np.allclose(last, state) and np.allclose(grad.flat, slopes)
+
+
+def test_long_documents_at_the_end_take_few_windows_and_the_same_updates(monkeypatch):
+    v = some_vocabulary()
+    rng = np.random.default_rng(6)
+    held = [np.stack([rng.integers(0, lm.CODES, n), np.arange(n) == 0, rng.integers(0, lm.OUTPUTS, n), rng.integers(0, lm.MEMBERS, n)], axis=1).astype(np.int16) for n in (9000, 5000, 700, 31, *[40] * 90)]
+    calls, run = [], lm.Network.window
+    monkeypatch.setattr(lm.Network, "window", lambda self, code, *more: calls.append(code.size) or run(self, code, *more))
+
+    def lanes():
+        one = lm.Lanes(lm.Network.start(v))
+        one.held[: len(held)], one.left[: len(held)] = held, [len(x) for x in held]
+        return one
+
+    together, singly = lanes(), lanes()
+    together.finish()
+    few = len(calls)
+    while len(some := np.flatnonzero(singly.left)):
+        singly.window(some)
+    singly.update()
+    assert together.seen == singly.seen == sum(map(len, held)) and together.adam.t == singly.adam.t
+    assert few < 20 < len(calls) - few and max(calls) < 4 * lm.LEAST_UPDATE
+    assert np.allclose(together.net.flat, singly.net.flat, atol=1e-3)
+
+
+@pytest.mark.parametrize("kind", [np.float32, np.float64])
+def test_rows_are_added_by_their_code(kind):
+    rng = np.random.default_rng(7)
+    code, rows = rng.integers(0, 40, 300), rng.normal(size=(300, 6)).astype(kind)
+    got, want = np.ones((50, 6), kind), np.ones((50, 6), kind)
+    lm.add_rows(got, code, rows)
+    np.add.at(want, code, rows)
+    assert np.allclose(got, want, atol=1e-4)
