@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import Words, mix, settle, slices, texts
+from salesmart.llm.common import Words, mix, release, settle, slices, texts
 
 #: Words known to every task; words with a softmax over their class; members of such a class.
 TOP, HEAD, MEMBERS = 1 << 18, 1024, 32
@@ -327,7 +327,7 @@ def _stream(words: Words, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
 
 def _seen(rank: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """What the model sees before each token (the token ahead, or START), and which tokens are a row's first."""
-    code = np.empty(len(rank), np.int64)
+    code = np.empty(len(rank), np.int16)
     code[1:] = Vocabulary.code(rank[:-1])
     fresh = np.zeros(len(rank), bool)
     fresh[first[:-1]] = True
@@ -361,6 +361,7 @@ def counts(train: DataFrame) -> DataFrame:
                     held, size = [], 0
         if held:
             yield rows(held)
+        release()
 
     return train.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -448,6 +449,8 @@ def train_network(docs: DataFrame, v: Vocabulary) -> Network:
                 at = np.arange(0, len(own.flat), CHUNK)
                 weighted = own.flat.astype(np.float64) * seen
                 yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.full(len(at), seen)), pa.array([weighted[a : a + CHUNK].tobytes() for a in at], pa.binary())], ["at", "seen", "sums"])
+            del lanes
+            release()
 
         def add(batches):
             sums: dict[int, tuple[int, np.ndarray]] = {}
@@ -475,7 +478,7 @@ def score_slice(words: Words, v: Vocabulary, net: Network) -> tuple[np.ndarray,
     """Per row, the natural log probability but for rare words' shares, and the ranks' stream."""
     rank, first = _stream(words, v)
     code, _ = _seen(rank, first)
-    kind, member = Vocabulary.output(rank), np.where(rank < HEAD, rank, 0) % MEMBERS
+    kind, member = (a.astype(np.int16) for a in (Vocabulary.output(rank), np.where(rank < HEAD, rank, 0) % MEMBERS))
     length = np.diff(first)
     order = np.argsort(-length, kind="stable")
     begin, length = first[:-1][order], length[order]
@@ -562,6 +565,7 @@ def score(docs: DataFrame, held_out) -> DataFrame:
                 [ids, held, pa.array(mark[whose].view(np.int64)), own(n, pa.int64()), own(n_known, pa.int64()), own(base, pa.float64()), own(score, pa.float64()), rares(word.view(np.int64)), rares(times)],
                 ["doc_id", "held_out", "mark", "n_tokens", "n_known", "base_score", "score", "word", "times"],
             )
+        release()
 
     schema = f"doc_id {kind}, held_out boolean, mark long, n_tokens long, n_known long, base_score double, score double, word long, times long"
     rows = settle(docs.mapInArrow(read, schema), "lm-scores")
